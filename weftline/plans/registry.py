@@ -9,3 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+
+def query(f: Query) -> Query:
+    """Registers a query under its function's name."""
+    QUERIES[f.__name__] = f
+    return f
