@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm import frequency, packing, tokens
+from weftline.llm import canonical, frequency, packing, tokens
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,25 @@ SQL["p1_found"] = TERMS + "select field_name, term, mark from marked where mark
 SQL["p1_term_frequencies"] = TERMS + "select field_name, term, cast(occurrences as bigint) occurrences, records, mark from marked"
 
 
+def typed_values(spark: SparkSession, d: str) -> DataFrame:
+    persons, roles = table(spark, d, "persons"), table(spark, d, "roles")
+    of = lambda t, name, column: t.select(F.lit(name).alias("field_name"), F.col("id").alias("row_id"), F.col(column).alias("value"))
+    return of(persons, "persons.city", "city").unionByName(of(persons, "persons.industry", "industry")).unionByName(of(roles, "roles.role_title", "role_title"))
+
+
+@query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.assign(typed_values(spark, d), table(spark, d, "canonical_values"))
+
+
+@query
+def p6_values(spark: SparkSession, d: str) -> DataFrame:
+    """The entry of each distinct typed value, and how many rows have it; -1 reports the unmatched ones."""
+    names = table(spark, d, "canonical_values").select("field_name", "canon_id", F.explode(F.concat(F.array("canonical_name"), "aliases")).alias("name"))
+    counts = typed_values(spark, d).where("value <> ''").groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.join(canonical.match_values(counts.select("field_name", "value"), names), ["field_name", "value"])
+
+
 @query
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(table(spark, d, "documents"))
