@@ -98,7 +98,7 @@ class Matcher:
         w = words[0]
         if w == entry[0] or (w not in self.words and is_short_for(w, entry[0])):
             return self.fits(words[1:], entry[1:])
-        initials = 1 < len(w) <= len(entry) and w not in self.words and w == "".join(e[0] for e in entry[: len(w)])
+        initials = 1 < len(w) <= len(entry) and w == "".join(e[0] for e in entry[: len(w)])
         return initials and self.fits(words[1:], entry[len(w) :])
 
     def shortened(self, reading: str) -> int | None:
