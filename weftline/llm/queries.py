@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import canonical, frequency, packing, tokens
+from weftline.llm import canonical, frequency, packing, spam, tokens
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,13 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_containers(table(spark, d, "documents"), 2048)
+
+
+@query
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam.spam_scores(table(spark, d, "documents")).where("score > 0.5").select("doc_id")
+
+
+@query
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return spam.spam_scores(table(spark, d, "documents"))
