@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import canonical, frequency, packing, spam, tokens
+from weftline.llm import canonical, frequency, packing, spam, tokens, variants
 from weftline.plans.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,13 @@ SQL["p1_found"] = TERMS + "select field_name, term, mark from marked where mark
 SQL["p1_term_frequencies"] = TERMS + "select field_name, term, cast(occurrences as bigint) occurrences, records, mark from marked"
 
 
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    orgs = table(spark, d, "organizations").select(F.col("forager_id").alias("id"), "name")
+    roles = table(spark, d, "roles").select("id", "organization_id", F.col("organization_name").alias("name"))
+    return variants.linked(orgs, roles, table(spark, d, "persons").select("id", "first_name", "last_name", "country"))
+
+
 def typed_values(spark: SparkSession, d: str) -> DataFrame:
     persons, roles = table(spark, d, "persons"), table(spark, d, "roles")
     of = lambda t, name, column: t.select(F.lit(name).alias("field_name"), F.col("id").alias("row_id"), F.col(column).alias("value"))
