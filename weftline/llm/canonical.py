@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.edits import BKTree, swaps
-from weftline.plans.runtime import ship
+from weftline.plans.runtime import shuffle_partitions, ship
 
 #: Words that qualify a value without changing what it is, at its beginning and at its end.
 BEFORE = "greater metro metropolitan senior sr junior jr lead principal chief certified licensed chartered assistant associate deputy acting interim trainee head staff".split()
@@ -198,5 +198,5 @@ def assign(rows: DataFrame, reference: DataFrame, **options) -> DataFrame:
     typed = rows.where("value is not null and value <> ''")
     exact = reference.select("field_name", F.col("canonical_name").alias("value")).distinct()
     values = typed.select("field_name", "value").distinct().join(exact, ["field_name", "value"], "left_anti")
-    found = match_values(values.repartition("field_name", "value"), names, **options)
+    found = match_values(values.repartition(shuffle_partitions(rows.sparkSession), "field_name", "value"), names, **options)
     return typed.join(found, ["field_name", "value"]).select("field_name", "row_id", "canon_id").distinct()
