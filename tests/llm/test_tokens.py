@@ -1,0 +1,111 @@
+"""Encoding against the two public libraries, and containers."""
+
+import os
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from weftline.llm import packing
+from weftline.llm.bpe import Encoder, read_ranks
+from weftline.llm.tokens import BYTE_BPE_50K, TOKENIZERS, encode_texts
+from weftline.plans.runtime import table
+
+pytestmark = pytest.mark.skipif(not os.path.exists(BYTE_BPE_50K), reason="no tokenizer files")
+
+
+@pytest.fixture(scope="module")
+def ours():
+    return Encoder(read_ranks(BYTE_BPE_50K))
+
+
+@pytest.fixture(scope="module")
+def theirs():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(f"{TOKENIZERS}/byte_bpe_50k.json")
+    t.encode_special_tokens = True
+    return lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+EDGES = ["", " ", "\n\n x", "a" * 3000, "ab" * 2000, "<|endoftext|>", "it's IT'S we'll", "  two  spaces ", "x \r\n y\x1c\x1d\x85z", "日本語 text ١٢٣ Ⅷ²", "é́ñ 🙂🙂  　z", "\x00\x01"]
+
+
+def test_edges(ours, theirs):
+    assert [ours.encode(t) for t in EDGES] == theirs(EDGES)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.text(alphabet="aab'st 1\n\té²中🙂", max_size=80))
+def test_any_text(ours, theirs, text):
+    assert ours.encode(text) == theirs([text])[0]
+
+
+def test_batches_and_forgetting_change_nothing(ours, monkeypatch):
+    import weftline.llm.bpe as bpe
+
+    texts = [*EDGES, "some words " * 40, None] * 2
+    alone = [ours.encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "KEEP", 1)
+    fresh = Encoder(ours.ranks)
+    for _ in range(2):
+        assert [np.frombuffer(b, np.int32).tolist() for b in fresh.encode_batch(texts)] == alone
+
+
+def test_documents(spark, small, theirs):
+    docs = table(spark, small, "documents")
+    got = {r.doc_id: list(r.ids) for r in encode_texts(docs).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert got == {r.doc_id: ids for r, ids in zip(rows, theirs([r.text or "" for r in rows]))}
+
+
+def test_table_edges(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (1, "", "y"), (None, "a", "z"), (1, "a", "w"), (1, "a", "w")], "doc_id long, text string, ids string")
+    got = Counter((r.doc_id, tuple(r.ids)) for r in encode_texts(rows).collect())
+    assert got == {(1, ()): 2, (None, (64,)): 1, (1, (64,)): 2}
+    assert encode_texts(rows.limit(0)).count() == 0
+
+
+def test_hilbert_visits_neighbours():
+    n = 3
+    grid = np.stack(np.meshgrid(*[np.arange(1 << n)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    key = packing.hilbert(grid, n)
+    assert sorted(key.tolist()) == list(range(len(grid)))
+    path = grid[np.argsort(key)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def sizes(spark, counts):
+    return spark.createDataFrame([(i, n, (i * 7919) % 1000) for i, n in enumerate(counts)], "id long, n_tokens long, curve long")
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(0, 90), max_size=60), st.integers(1, 3))
+def test_containers_hold_every_piece_once(spark, counts, window):
+    got = packing.pack(sizes(spark, counts), 40, window=window * 7, keep=5).collect()
+    assert sorted((r.doc_id, r.piece) for r in got) == sorted((i, p) for i, n in enumerate(counts) for p in range(max(1, -(-n // 40))))
+    fill = {}
+    for r in sorted(got, key=lambda r: r.place):
+        assert r.n_tokens == (min(40, counts[r.doc_id] - 40 * r.piece) if counts[r.doc_id] else 0)
+        assert r.place == fill.get(r.container, 0) or r.n_tokens == 0
+        fill[r.container] = fill.get(r.container, 0) + r.n_tokens
+    assert all(v <= 40 for v in fill.values())
+
+
+def test_little_room_is_left(spark):
+    rng = np.random.default_rng(3)
+    counts = rng.integers(1, 5000, 3000).tolist()
+    got = packing.pack(sizes(spark, counts), 2048).collect()
+    used = len({r.container for r in got})
+    assert used <= 1.02 * -(-sum(counts) // 2048)
+
+
+def test_many_partitions_and_table_edges(spark):
+    got = packing.pack(sizes(spark, [10] * 500), 40, items_per_partition=50).collect()
+    assert len({(r.doc_id, r.piece) for r in got}) == 500 and len({r.container for r in got}) <= 135
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 5000), (4, "x")], "doc_id long, text string")
+    out = packing.fill_containers(docs, 2048).collect()
+    assert sorted((r.doc_id, r.piece, r.n_tokens) for r in out) == [(1, 0, 0), (2, 0, 0), (3, 0, 2048), (3, 1, 2048), (3, 2, 905), (4, 0, 1)]
+    assert packing.fill_containers(docs.limit(0)).count() == 0

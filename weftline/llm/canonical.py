@@ -104,7 +104,7 @@ class Matcher:
     def shortened(self, reading: str) -> int | None:
         """The one entry whose words a reading has in short; None if there are none or several."""
         words = reading.split()
-        if len(words) < 2 or all(w in self.words for w in words):
+        if len(words) < 2:
             return None
         hits = {i for entry, i in self.entries if len(entry) >= len(words) and self.fits(words, entry)}
         return hits.pop() if len(hits) == 1 else None
