@@ -104,7 +104,7 @@ class Bins:
             del self.open[: len(self.open) - self.keep]
 
 
-def pack(sizes: DataFrame, capacity: int = 2048, *, id_col: str = "doc_id", window: int = 50_000, keep: int = 10_000, items_per_partition: int = 1_000_000) -> DataFrame:
+def pack(sizes: DataFrame, capacity: int = 2048, *, id_col: str = "doc_id", window: int = 50_000, keep: int = 10_000, items_per_partition: int = 500_000) -> DataFrame:
     """(id, piece, container, place, n_tokens) from (id, n_tokens, curve).
 
     Items are range-sorted by their Hilbert key. Along the curve, a window of neighbouring items at a time is put into
