@@ -404,12 +404,64 @@ def batch_bytes(spark: SparkSession, d: str) -> DataFrame:
     return b.groupBy("source", "batch").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("bytes"))
 
 
+SIZES = """with recursive d as (select source, doc_id, cast(coalesce(octet_length(encode(text)), 0) as bigint) size, row_number() over (partition by source order by doc_id) rn from documents),
+"""
+SQL["batch_bytes"] = SIZES + """b as (select source, rn, size used, 1 cnt, cast(0 as bigint) batch, size from d where rn = 1
+  union all select d.source, d.rn, case when b.used + d.size > 65536 or b.cnt >= 100 then d.size else b.used + d.size end, case when b.used + d.size > 65536 or b.cnt >= 100 then 1 else b.cnt + 1 end,
+    case when b.used + d.size > 65536 or b.cnt >= 100 then b.batch + 1 else b.batch end, d.size from b join d on d.source = b.source and d.rn = b.rn + 1)
+select source, batch, count(*) docs, cast(sum(size) as bigint) bytes from b group by all"""
+
+
 @query
 def byte_budget_sample(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("source", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
     return sample.within_budget(docs, "source", "doc_id", "size", 100_000)
 
 
+SQL["byte_budget_sample"] = SIZES + """b as (select source, rn, doc_id, size, size <= 100000 taken, case when size <= 100000 then 100000 - size else 100000 end room from d where rn = 1
+  union all select d.source, d.rn, d.doc_id, d.size, d.size <= b.room, case when d.size <= b.room then b.room - d.size else b.room end from b join d on d.source = b.source and d.rn = b.rn + 1)
+select source, doc_id, size from b where taken"""
+
+
+@query
+def first_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The first lines of each feed file, by number."""
+    return table(spark, d, "feed_lines").where("line_no <= 5").select("feed_file", "line_no", "raw_line")
+
+
+SQL["first_lines"] = "select feed_file, line_no, raw_line from feed_lines where line_no <= 5"
+
+
+@query
+def small_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies of at most 64 KiB, with their size."""
+    size = F.octet_length("serialized_data").cast("long")
+    return table(spark, d, "persons").select("id", size.alias("bytes")).where("bytes <= 65536").distinct()
+
+
+SQL["small_bodies"] = "select distinct id, cast(octet_length(encode(serialized_data)) as bigint) bytes from persons where octet_length(encode(serialized_data)) <= 65536"
+
+
+@query
+def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
+    """String, number, array, hash and JSON functions as the feed engine uses them."""
+    o = table(spark, d, "organizations").select("forager_id", "name", "employees_number", "keywords", "date_updated").distinct()
+    words = F.split(F.trim(F.regexp_replace(F.coalesce("name", F.lit("")), r"\s+", " ")), " ")
+    return o.select(
+        "forager_id", F.concat(F.lit("ns:org:"), F.col("forager_id").cast("string")).alias("key"), F.substring("name", 1, 12).alias("cut"), F.size(words).alias("words"), F.slice(words, 1, 1)[0].alias("first_word"), F.greatest(F.lit(1), F.coalesce("employees_number", F.lit(0))).alias("at_least_one"),
+        F.ceil(F.coalesce("employees_number", F.lit(0)) / 7).cast("long").alias("sevenths"), F.coalesce(F.array_contains("keywords", "inventory planning"), F.lit(False)).alias("plans"), F.size(F.array_distinct(F.coalesce("keywords", F.array().cast("array<string>")))).alias("keywords"), F.sha2(F.coalesce("name", F.lit("")), 256).alias("sha"), F.date_format(feed_instant(F.col("date_updated")), "yyyy-MM-dd").alias("day"),
+    )
+
+
+SQL["scalar_functions"] = r"""with o as (select distinct forager_id, name, employees_number, keywords, date_updated from organizations),
+w as (select *, string_split(trim(regexp_replace(coalesce(name, ''), '\s+', ' ', 'g')), ' ') words, cast(regexp_replace(date_updated, ' (Z|[+-]\d\d)(\d\d)?$', '\1') as timestamptz)
+  - case when date_updated ~ '[+-]\d{4}$' then to_minutes(cast(right(date_updated, 5)[1] || right(date_updated, 2) as int)) else to_minutes(0) end at_ from o)
+select forager_id, 'ns:org:' || forager_id key, name[1:12] cut, cast(len(words) as int) words, words[1] first_word, greatest(1, coalesce(employees_number, 0)) at_least_one,
+  cast(ceil(coalesce(employees_number, 0) / 7) as bigint) sevenths, coalesce(list_contains(keywords, 'inventory planning'), false) plans,
+  cast(len(list_distinct(coalesce(list_filter(keywords, lambda x: x is not null), []))) + case when len(list_filter(keywords, lambda x: x is null)) > 0 then 1 else 0 end as int) keywords,
+  sha256(coalesce(name, '')) sha, strftime(at_ at time zone 'UTC', '%Y-%m-%d') "day" from w"""
+
+
 @query
 def stride_sample(spark: SparkSession, d: str) -> DataFrame:
     return sample.stride(sample.numbered(table(spark, d, "documents").select("doc_id", "source"), "source", F.col("doc_id")))
