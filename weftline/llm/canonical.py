@@ -198,5 +198,7 @@ def assign(rows: DataFrame, reference: DataFrame, **options) -> DataFrame:
     typed = rows.where("value is not null and value <> ''")
     exact = reference.select("field_name", F.col("canonical_name").alias("value")).distinct()
     values = typed.select("field_name", "value").distinct().join(exact, ["field_name", "value"], "left_anti")
-    found = match_values(values.repartition(shuffle_partitions(rows.sparkSession), "field_name", "value"), names, **options)
+    # by another key than the distinct's own, else the planner drops this exchange and folds all values into one task
+    spread = values.repartition(shuffle_partitions(rows.sparkSession), F.xxhash64("value"))
+    found = match_values(spread, names, **options)
     return typed.join(found, ["field_name", "value"]).select("field_name", "row_id", "canon_id").distinct()
