@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,10 +19,12 @@ def surplus(table: DataFrame, key: str) -> DataFrame:
 
 
 def last_wins(table: DataFrame, key: str, *order: Column) -> DataFrame:
-    """One row for each key: the one that is last in the order, as an upsert of the rows in that order leaves it."""
-    rest = [c for c in table.columns if c != key]
-    latest = table.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])).alias("row"))
-    return latest.select(key, "row.*")
+    """One row for each key: the one that is last in the order, as an upsert of the rows in that order leaves it.
+
+    Each task keeps only its own last row of a key before rows move, and only the columns asked for later are read.
+    """
+    w = Window.partitionBy(key).orderBy(*[o.desc_nulls_last() for o in order])
+    return table.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
 def differing(left: DataFrame, right: DataFrame, key: str, doc: str) -> DataFrame:

@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 
 def resolve(references: DataFrame, known: DataFrame) -> DataFrame:
-    """(entity, resolved, unresolved) for references (entity, pos, ref) against ids (ref).
+    """(entity, resolved, unresolved, bodies) for references (entity, pos, ref) against a table (ref, body).
 
-    Each entity's distinct references in the order of their first position, those that are known and those that are not.
-    Only ids move; repeats within an entity are folded and null references dropped before the join.
+    Each entity's distinct references in the order of their first position: those that are known, those that are not, and
+    the bodies of the known ones. Only ids move before the join; repeats within an entity are folded and null references
+    dropped. known may do without a body. One exchange by reference and one by entity.
     """
     distinct = references.where("ref is not null").groupBy("entity", "ref").agg(F.min("pos").alias("pos"))
-    hits = known.select("ref").distinct().withColumn("hit", F.lit(True))
-    found = distinct.join(hits, "ref", "left").groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("pos", "ref", F.coalesce("hit", F.lit(False)).alias("hit")))).alias("refs"))
-    ids = lambda want: F.transform(F.filter("refs", lambda r: r["hit"] == want), lambda r: r["ref"])
-    return found.select("entity", ids(True).alias("resolved"), ids(False).alias("unresolved"))
+    has_body = "body" in known.columns
+    found = distinct.join(known.withColumn("hit", F.lit(True)), "ref", "left")
+    item = F.struct("pos", "ref", F.coalesce("hit", F.lit(False)).alias("hit"), *(["body"] if has_body else []))
+    refs = found.groupBy("entity").agg(F.array_sort(F.collect_list(item), lambda a, b: a["pos"] - b["pos"]).alias("refs"))
+    pick = lambda want, field: F.transform(F.filter("refs", lambda r: r["hit"] == want), lambda r: r[field])
+    return refs.select("entity", pick(True, "ref").alias("resolved"), pick(False, "ref").alias("unresolved"), *([pick(True, "body").alias("bodies")] if has_body else []))
 
 
 def enrich(entities: DataFrame, lookup: DataFrame, *, id_col: str = "id", array: str = "roles", ref: str = "organization_id", lookup_id: str = "forager_id", into: str = "organizations", flag: str = "organization_unresolved") -> DataFrame:
@@ -28,16 +31,13 @@ def enrich(entities: DataFrame, lookup: DataFrame, *, id_col: str = "id", array:
     count elements, repeats included. A null array counts as empty. id_col and lookup_id must be unique.
     """
     refs = entities.select(F.col(id_col).alias("entity"), F.posexplode(F.transform(array, lambda r: r[ref])).alias("pos", "ref"))
-    found = resolve(refs, lookup.select(F.col(lookup_id).alias("ref")))
-    wanted = found.select("entity", F.posexplode("resolved").alias("pos", "ref"))
-    body = lookup.select(F.col(lookup_id).alias("ref"), F.struct(*lookup.columns).alias("body"))
-    bodies = wanted.join(body, "ref").groupBy("entity").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "body")), lambda a, b: a["pos"] - b["pos"]), lambda x: x["body"]).alias("bodies"))
+    found = resolve(refs, lookup.select(F.col(lookup_id).alias("ref"), F.struct(*lookup.columns).alias("body")))
     none = F.array().cast(entities.select(F.transform(array, lambda r: r[ref])).schema[0].dataType)
     items = F.coalesce(F.col(array), F.array().cast(entities.schema[array].dataType))
     unresolved = F.coalesce("unresolved", none)
     is_bad = lambda r: r[ref].isNotNull() & F.array_contains(F.col("_bad"), r[ref])
     known = lambda r: r[ref].isNotNull() & ~F.array_contains(F.col("_bad"), r[ref])
-    joined = entities.drop(into, "unresolved_organization_ids", "has_unresolved_organizations").join(found.withColumnRenamed("entity", id_col), id_col, "left").join(bodies.withColumnRenamed("entity", id_col), id_col, "left").withColumn("_bad", unresolved)
+    joined = entities.drop(into, "unresolved_organization_ids", "has_unresolved_organizations").join(found.withColumnRenamed("entity", id_col), id_col, "left").withColumn("_bad", unresolved)
     return (
         joined.withColumns({array: items, into: F.coalesce("bodies", F.array().cast(f"array<{lookup.select(F.struct(*lookup.columns)).schema[0].dataType.simpleString()}>"))})
         .withColumns({"n_roles": F.size(array), "n_resolved": F.size(F.filter(array, known)), "n_unresolved": F.size(F.filter(array, is_bad)), "unresolved_organization_ids": F.col("_bad"), "has_unresolved_organizations": F.size("_bad") > 0})
@@ -61,12 +61,9 @@ def enrich_documents(persons: DataFrame, organizations: DataFrame) -> DataFrame:
     p = p.select("id", "body", roles.alias("roles"))
     ref = lambda r: F.try_variant_get(r, "$.organization_id", "bigint")
     refs = p.select(F.col("id").alias("entity"), F.posexplode(F.transform("roles", ref)).alias("pos", "ref"))
-    found = resolve(refs, organizations.select(F.col("id").alias("ref")))
-    wanted = found.select("entity", F.posexplode("resolved").alias("pos", "ref"))
-    body = organizations.select(F.col("id").alias("ref"), F.parse_json("body").alias("organization"))
-    bodies = wanted.join(body, "ref").groupBy("entity").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "organization")), lambda a, b: a["pos"] - b["pos"]), lambda x: x["organization"]).alias("bodies"))
+    found = resolve(refs, organizations.select(F.col("id").alias("ref"), F.parse_json("body").alias("body")))
     none = F.array().cast("array<bigint>")
-    j = p.join(found.withColumnRenamed("entity", "id"), "id", "left").join(bodies.withColumnRenamed("entity", "id"), "id", "left").withColumn("bad", F.coalesce("unresolved", none))
+    j = p.join(found.withColumnRenamed("entity", "id"), "id", "left").withColumn("bad", F.coalesce("unresolved", none))
     is_bad = lambda r: ref(r).isNotNull() & F.array_contains(F.col("bad"), ref(r))
     as_map = lambda v: v.cast("map<string,variant>")
     flagged = F.transform("roles", lambda r: F.to_variant_object(F.map_concat(F.map_filter(as_map(r), lambda k, v: k != "organization_unresolved"), _variant_map({"organization_unresolved": is_bad(r)}))))
