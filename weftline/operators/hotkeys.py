@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,4 +53,5 @@ def roll_up(joined: DataFrame, by: str, sums: tuple[str, ...]) -> DataFrame:
 def with_share(joined: DataFrame, total: int, hot_share: float) -> DataFrame:
     """Adds each key's share of all rows and whether it dominates: not null, and over hot_share."""
     share = F.col("left_rows") / F.lit(max(total, 1))
-    return joined.withColumns({"share": share, "dominates": F.col("key").isNotNull() & (share > hot_share)})
+    hot = F.col("left_rows") > F.lit(Decimal(str(hot_share)) * total)  # exact, as a key may hold just that share
+    return joined.withColumns({"share": share, "dominates": F.col("key").isNotNull() & hot})
