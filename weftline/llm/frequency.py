@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 import numpy as np
@@ -92,5 +93,5 @@ def term_frequencies(tables: list[tuple[DataFrame, str, dict[str, str]]], *, rar
         [t.select(F.col(i).alias("record")).distinct().agg(F.count("record").alias("ids")).select(F.explode(F.array(*map(F.lit, fields))).alias("field_name"), "ids") for t, i, fields in tables],
     )  # one row for each field that the call names
     pairs = reduce(DataFrame.unionByName, [term_pairs(*t) for t in tables])
-    mark = F.when(F.col("records") <= rare_records, "rare").when(F.col("records") > common_share * F.col("ids"), "common")
+    mark = F.when(F.col("records") <= rare_records, "rare").when(F.col("records") > F.lit(Decimal(str(common_share))) * F.col("ids"), "common")  # exact, as a term may have just that share
     return scan_runs(pairs).join(F.broadcast(totals), "field_name").select("field_name", "term", "occurrences", "records", mark.alias("mark"))
