@@ -582,3 +582,25 @@ def removals_by_month(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL["removals_by_month"] = "select strftime(removed_at at time zone 'UTC', '%Y-%m') \"month\", count(*) removals, count(distinct organization_id) organizations from organization_removals group by 1"
+
+
+@query
+def mean_extrapolation(spark: SparkSession, d: str) -> DataFrame:
+    """The size of all bodies as estimated from the mean of a sample, beside the true size."""
+    p = table(spark, d, "persons").where("serialized_data is not null").select("id", F.octet_length("serialized_data").cast("long").alias("b"))
+    mean = F.sum(F.when(F.col("id") % 20 == 0, F.col("b"))) / F.greatest(F.lit(1), F.count_if(F.col("id") % 20 == 0))
+    return p.agg(F.count(F.lit(1)).alias("bodies"), F.round(mean * F.count(F.lit(1)), 3).alias("estimated"), F.sum("b").alias("bytes"))
+
+
+SQL["mean_extrapolation"] = """with p as (select id, cast(octet_length(encode(serialized_data)) as bigint) b from persons where serialized_data is not null)
+select count(*) bodies, round(cast(sum(b) filter (id % 20 = 0) as double) / greatest(1, count(*) filter (id % 20 = 0)) * count(*), 3) estimated, cast(sum(b) as bigint) bytes from p"""
+
+
+@query
+def source_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Figures of each mailbox merged to one row: the greatest peak, the sum of peaks and the sum of all."""
+    per = table(spark, d, "documents").groupBy("source").agg(F.max("n_chars").alias("peak"), F.sum("n_chars").alias("chars"))
+    return per.agg(F.max("peak").alias("max_peak"), F.sum("peak").alias("sum_of_peaks"), F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("sources"))
+
+
+SQL["source_rollup"] = "select max(p) max_peak, cast(sum(p) as bigint) sum_of_peaks, cast(sum(c) as bigint) chars, count(*) sources from (select max(n_chars) p, sum(n_chars) c from documents group by source)"
