@@ -195,9 +195,9 @@ def assign(rows: DataFrame, reference: DataFrame, **options) -> DataFrame:
     aliases). Repeated rows give one row for each entry.
     """
     names = reference.select("field_name", "canon_id", F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"))
-    typed = rows.where("value is not null and value <> ''")
     exact = reference.select("field_name", F.col("canonical_name").alias("value")).distinct()
-    values = typed.select("field_name", "value").distinct().join(exact, ["field_name", "value"], "left_anti")
+    typed = rows.where("value is not null and value <> ''").join(exact, ["field_name", "value"], "left_anti")
+    values = typed.select("field_name", "value").distinct()
     # by another key than the distinct's own, else the planner drops this exchange and folds all values into one task
     spread = values.repartition(shuffle_partitions(rows.sparkSession), F.xxhash64("value"))
     found = match_values(spread, names, **options)
