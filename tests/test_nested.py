@@ -72,3 +72,11 @@ def test_child_table_and_empty(spark):
     tags = child_table(node_table(df, "id", ("body",)), "roles.tags", "t string").collect()
     assert sorted((r.parent_pos, r.pos, r.t) for r in tags) == [(0, 0, "a"), (0, 2, "b")]
     assert node_table(spark.createDataFrame([], SCHEMA), "id", ("body",)).count() == 0
+
+
+def test_very_deep_records(spark):
+    n = 3000
+    body = '{"a":' + '[{"a":' * n + "1" + "}]" * n + "}"
+    nodes = node_table(spark.createDataFrame([(1, 0, None, None, body)], SCHEMA), "id", ("body",), payload=False)
+    r = nodes.selectExpr("count(*) n", "max(level) l", "max(length(child)) c").head()
+    assert (r.n, r.l, r.c) == (n, n, 2 * n - 1)

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from weftline.functions.strict_json import _deep, is_id, strict_loads
-from weftline.operators.rejects import load_csv_lines, load_json_line, load_lines
+from weftline.operators.rejects import dump, load_csv_lines, load_json_line, load_lines
 
 BODY = '{"forager_id":5}'
 
@@ -79,6 +79,13 @@ def test_parsers_agree(value, noise, at):
     assert repr(a) == repr(b)
 
 
+def test_deep_bodies_are_kept_whole():
+    deep = '{"id":5,"serialized_data":{"a":' + '[{"k\\"":' * 2000 + "1" + "},null]" * 2000 + ',"b":"x"}}'
+    body = load_json_line(deep)[2]
+    assert _deep(body)["b"] == "x" and body == '{"a":' + '[{"k\\"":' * 2000 + "1" + "},null]" * 2000 + ',"b":"x"}'
+    assert dump({"a": [1, {}], "é": None}) == '{"a":[1,{}],"é":null}'
+
+
 def test_ids():
     assert is_id(0) and is_id(2**63 - 1) and not is_id(2**63) and not is_id(True) and not is_id(1.0) and not is_id("1")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import sys
 from array import array
 
 import numpy as np
@@ -132,6 +133,7 @@ def node_table(records: DataFrame, id_col: str, json_cols: tuple[str, ...] = (),
     n_arrays = len(arrays)
 
     def walk(batches):
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 1_000_000))  # records may be nested deeply
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 
 import pyarrow as pa
@@ -20,6 +21,10 @@ QUOTED_WELL = re.compile(rf"{FIELD}(?:,{FIELD})*+")
 SCHEMA = pa.schema([("at", pa.int32()), ("id", pa.int64()), ("date_updated", pa.string()), ("body", pa.string()), ("cell", pa.string()), ("reason", pa.string())])
 
 
+class Mark(str):
+    """Text that is already JSON."""
+
+
 def check_body(body, ident: int) -> tuple[str, str] | None:
     """What is wrong with an envelope's body: the failing cell and the reason."""
     if not isinstance(body, dict):
@@ -30,12 +35,25 @@ def check_body(body, ident: int) -> tuple[str, str] | None:
 
 
 def dump(value) -> str:
-    import json
-
+    """Compact JSON, also of what is nested too deeply for the usual writer."""
     try:
         return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
     except RecursionError:
-        return "{}"
+        out: list[str] = []
+        todo: list = [value]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, Mark):
+                out.append(x)
+            elif isinstance(x, dict):
+                parts = [y for i, (k, v) in enumerate(x.items()) for y in (Mark(("," if i else "") + json.dumps(k, ensure_ascii=False) + ":"), v)]
+                todo += [Mark("}"), *reversed(parts), Mark("{")]
+            elif isinstance(x, list):
+                parts = [y for i, v in enumerate(x) for y in (Mark("," if i else ""), v)]
+                todo += [Mark("]"), *reversed(parts), Mark("[")]
+            else:
+                out.append(json.dumps(x, ensure_ascii=False))
+        return "".join(out)
 
 
 def load_json_line(line: str) -> tuple:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import time
 from datetime import UTC, datetime
 
@@ -30,10 +31,8 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
     """
     metrics: dict = {"status": "running", "started": datetime.now(UTC).isoformat()}
     began = time.monotonic()
-    local = not config.out.startswith(("hdfs:", "s3", "gs:", "abfs"))
+    local = "://" not in config.out  # a run on remote storage keeps its metrics only in what it returns
     if local:
-        import os
-
         os.makedirs(config.out, exist_ok=True)
 
     def keep() -> None:
