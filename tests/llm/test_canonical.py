@@ -41,7 +41,7 @@ TITLES = [(1, "Project Manager"), (2, "Product Manager"), (3, "Software Engineer
         ("project manager", 1), ("Sr. Project Manager", 1), ("Manager, Project", 1), ("ProjectManager", 1), ("Project Mgr", 1), ("Proejct Manager", 1), ("Prodct Manager", 2), ("Project Manager III", 1), ("Junior Project Manager - Nordic region", 1),
         ("Project Manager (m/f/d)", 1), ("Project Manager @ Plant 7", 1), ("Project Manager | hiring!", 1), ("Project Manager, night shift", 1), ("Software Eng.", 3), ("SWE", 3), ("swee", -1), ("HR Generalist", 4), ("wleder", 6), ("First Officer (jets)", 7),
         ("hospital_and_clinics", 8), ("Clinics, Hospital", 8), ("Hospital / Clinics", 8), ("Hospital & Clinics industry", 8), ("St. Kamoretu", 9), ("Saint-Kamoretu, Spain", 9), ("Greater Saint Kamoretu Area", 9), ("Ft. Kulo mine (NE)", 10), ("KEBIBRUSA City", 11),
-        ("Student", -1), ("???", -1), ("   ", -1), ("Chief Happiness Wizard", -1), ("x" * 5000, -1), ("Manager", -1),
+        ("Student", -1), ("???", -1), ("   ", -1), ("Chief Happiness Wizard", -1), ("x" * 500_000, -1), ("project manager " * 30_000, -1), ("Manager", -1),
     ],
 )
 def test_values(value, ident):

@@ -4,7 +4,11 @@ import random
 
 import pytest
 
-from weftline.llm.variants import linked, organization_form, person_form
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from weftline.functions.edits import swaps
+from weftline.llm.variants import linked, one_edit, organization_form, person_form, word_blocks
 
 GENERIC = frozenset("foods media energy engineering consulting construction technologies services".split())
 NAMES = frozenset("zachary leonardo hana jana tariq emil".split())
@@ -54,3 +58,25 @@ def test_links(spark):
 
 def test_empty_tables(spark):
     assert linked(*(t.limit(0) for t in tables(spark))).count() == 0
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="ab", max_size=8), st.text(alphabet="ab", max_size=8))
+def test_one_edit(a, b):
+    assert one_edit(a, b) == (swaps(a, b) == 1)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=5), min_size=2, max_size=4))
+def test_word_blocks(words):
+    rests = [(w, "".join(words[:i] + words[i + 1 :])) for i, w in enumerate(words)]
+    want = {x for w, rest in rests if len(w) >= 3 for x in (f"{w}<{rest[:2]}", f"{w}>{rest[-2:]}")}
+    assert set(word_blocks(words, "".join(words))[2:]) | {"x"} >= want
+
+
+def test_long_names_and_names_without_letters(spark):
+    long = "wobali " * 20_000
+    orgs = spark.createDataFrame([(1, long + "a"), (2, long + "b"), (3, "-"), (4, "???"), (5, "")], "id long, name string")
+    roles = spark.createDataFrame([(9, None, "-")], "id long, organization_id long, name string")
+    people = spark.createDataFrame([(1, "Ann" * 5000, "Lee" * 9000, "Kenya"), (2, "-", "?", "Kenya")], "id long, first_name string, last_name string, country string")
+    assert {tuple(r) for r in linked(orgs, roles, people).collect()} == {("organization", 1, 2), ("role_organization", 3, 9)}

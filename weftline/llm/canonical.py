@@ -90,6 +90,7 @@ class Matcher:
                 self.ids.setdefault(squeezed(text), ident)
         self.entries = [(text.split(), i) for text, i in {plain(n): i for i, n in entries}.items()]
         self.tree = BKTree(sorted(self.ids))
+        self.longest = max(map(len, self.ids), default=0)
 
     def fits(self, words: list[str], entry: list[str]) -> bool:
         """Whether the words stand for the entry's words in order: the same, short for one, or initials of several."""
@@ -123,8 +124,8 @@ class Matcher:
         best = None
         for at, (_, s) in enumerate(forms):
             most = radius(s)
-            if not most:
-                continue
+            if not most or len(s) > self.longest + most:
+                continue  # no entry can be that near
             for _, entry in self.tree.within(s, most + 1):  # an exchange is two edits for the tree's metric
                 d = swaps(s, entry)
                 if d <= most and (best is None or (d, at, self.ids[entry]) < best):
