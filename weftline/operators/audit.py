@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.strict_json import strict_loads
+from weftline.operators.nested import JSON_START
+from weftline.plans.runtime import ship
+
 DATE_SHAPES = {
     "datetime Z": r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d+ Z$",
     "datetime offset": r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d+ [+-]\d{4}$",
@@ -52,11 +60,117 @@ def type_histogram(table: DataFrame, json_col: str) -> DataFrame:
 
 
 def schema_profile(nodes: DataFrame) -> DataFrame:
-    """(child, objects, parents, most): for each nested path of a node table its objects, holders and longest array."""
+    """(child, objects, parents, most): for each nested path of a node table its objects, holders and longest array.
+
+    Objects alone: null elements after the last object don't count for most; path_profile has every path and true lengths.
+    """
     per = nodes.groupBy("child", "owner", "parent_pos").agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("last"))
     return per.groupBy("child").agg(F.sum("n").alias("objects"), F.count(F.lit(1)).alias("parents"), (F.max("last") + 1).cast("long").alias("most"))
 
 
+JSON_KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", int: "integer", float: "number", type(None): "null"}
+PROFILE_CHARS = 4_000_000
+
+
+class PathCounts:
+    """How often each path has each JSON type, and the greatest length of its arrays."""
+
+    def __init__(self):
+        self.size = 0
+        self.held: dict[tuple[str, str], list[int]] = {}
+
+    def add(self, path: str, kind: str, n: int = 1, longest: int = 0) -> None:
+        at = self.held.get((path, kind))
+        if at is None:
+            self.held[path, kind] = [n, longest]
+            self.size += len(path) + 50
+        else:
+            at[0] += n
+            at[1] = max(at[1], longest)
+
+    def value(self, path: str, value) -> None:
+        todo = [(path, value)]
+        while todo:
+            path, value = todo.pop()
+            if type(value) is dict:
+                self.add(path, "object")
+                todo += [(f"{path}.{k}", v) for k, v in value.items()]
+            elif type(value) is list:
+                self.add(path, "array", 1, len(value))
+                todo += [(f"{path}[]", v) for v in value]
+            else:
+                self.add(path, JSON_KINDS.get(type(value), "string"))
+
+    def text(self, path: str, text: str | None) -> None:
+        """A JSON text; of JSON written as a JSON string, what it holds."""
+        if text is None:
+            return self.add(path, "null")
+        try:
+            value = strict_loads(text)
+        except ValueError:
+            return self.add(path, "malformed")
+        while isinstance(value, str) and value.lstrip(" \t\n\r").startswith(JSON_START):
+            try:
+                value = strict_loads(value)
+            except ValueError:
+                break
+        self.value(path, value)
+
+    def column(self, path: str, values: pa.Array) -> None:
+        """A typed column, level by level without Python values."""
+        if values.null_count:
+            self.add(path, "null", values.null_count)
+            values = values.drop_null()
+        t = values.type
+        if not len(values):
+            return
+        if pa.types.is_struct(t):
+            self.add(path, "object", len(values))
+            for i in range(t.num_fields):
+                self.column(f"{path}.{t.field(i).name}", values.field(i))
+        elif pa.types.is_list(t) or pa.types.is_large_list(t):
+            self.add(path, "array", len(values), pc.max(pc.list_value_length(values)).as_py())
+            self.column(f"{path}[]", values.flatten())
+        elif pa.types.is_map(t):
+            for pairs in values.to_pylist():
+                self.value(path, dict(pairs))
+        else:
+            kind = "boolean" if pa.types.is_boolean(t) else "integer" if pa.types.is_integer(t) else "number" if pa.types.is_floating(t) or pa.types.is_decimal(t) else "string"
+            self.add(path, kind, len(values))
+
+    def flush(self) -> pa.RecordBatch:
+        held, self.held, self.size = self.held, {}, 0
+        paths = [p.encode("utf-8", "backslashreplace").decode() for p, _ in held]
+        longest = [m if k == "array" else None for (_, k), (_, m) in held.items()]
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([k for _, k in held], pa.string()), pa.array([n for n, _ in held.values()], pa.int64()), pa.array(longest, pa.int64())], names=["path", "kind", "n", "longest"])
+
+
+def path_profile(records: DataFrame, json_cols: tuple[str, ...] = ()) -> DataFrame:
+    """(path, kind, n, longest): how often each path of the records has each JSON type; for arrays the greatest length.
+
+    Every column is a path, the fields of its objects are `path.field`, the elements of its arrays `path[]`, at any depth,
+    scalars and nulls too. JSON columns are read as the JSON they hold, unreadable text counts as `malformed`. Every row
+    counts, repeated ones too. Counts are folded where records are read; only those move.
+    """
+    ship(records.sparkSession)
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = PathCounts()
+        for batch in batches:
+            for name, values in zip(batch.schema.names, batch.columns):
+                if name not in json_cols:
+                    seen.column(name, values)
+                    continue
+                for text in values:
+                    seen.text(name, text.as_py())
+                    if seen.size > PROFILE_CHARS:
+                        yield seen.flush()
+        yield seen.flush()
+
+    found = records.withColumns({c: F.col(c).cast("string") for c in json_cols}).mapInArrow(profile, "path string, kind string, n long, longest long")
+    return found.groupBy("path", "kind").agg(F.sum("n").alias("n"), F.max("longest").alias("longest"))
+
+
 def dangling(references: DataFrame, ref: str, known: DataFrame, key: str) -> DataFrame:
     """(ref): distinct references that nothing known has."""
     return references.select(ref).where(F.col(ref).isNotNull()).distinct().join(known.select(F.col(key).alias(ref)), ref, "left_anti")

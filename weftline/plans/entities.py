@@ -352,6 +352,12 @@ g as (select child, id, pp, count(*) n, max(pos) m from (from a union all from b
 select child, cast(sum(n) as bigint) objects, count(*) parents, cast(max(m) + 1 as bigint) most from g group by 1"""
 
 
+@query
+def schema_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Every path of the persons, inside serialized_data too, with its JSON types and longest array; no SQL can state it."""
+    return audit.path_profile(table(spark, d, "persons"), ("serialized_data",))
+
+
 @query
 def json_extract(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
