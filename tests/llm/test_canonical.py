@@ -69,3 +69,17 @@ def test_shards_give_the_same_answers(spark):
     values = rows.where("value <> ''").select("field_name", "value").distinct()
     get = lambda **o: {tuple(r) for r in match_values(values, names, **o).collect()}
     assert get() == get(broadcast_entries=3, shard_entries=2)
+
+
+TIED = [(9, "Lead Welder"), (6, "Welder"), (31, "Software Engineer"), (32, "Softer Engraver"), (41, "Data Analyst"), (42, "Dry Analysis Ta"), (51, "Night Porter"), (52, "Mgr"), (53, "Works Manager"), (61, "Chief Cook"), (62, "Cook"), (72, "Plant-Keeper"), (71, "Plant Keeper")]
+TYPED = [("lead welder", 9), ("Lead Weldr", 9), ("welder", 6), ("Soft Eng", -1), ("Softw Engineer", 31), ("Nght Prtr", 51), ("Works Mgr", -1), ("chief cook", 61), ("Cheif Cook", 61), ("sr. cook", 62), ("Plnt Kpr", 71), ("Dta Anlst", 41), ("   ", -1)]
+
+
+@pytest.mark.parametrize("shard_entries", [1, 2, 5])
+def test_ties_and_ambiguous_short_forms_over_shards(spark, shard_entries):
+    names = spark.createDataFrame([("t", i, n) for i, n in TIED] + [("u", 99, "Softw Only")], "field_name string, canon_id long, name string")
+    values = spark.createDataFrame([("t", v) for v, _ in TYPED] + [("u", "soft only"), ("v", "welder"), ("t", None), ("t", "")], "field_name string, value string")
+    want = {("t", v, i) for v, i in TYPED} | {("u", "soft only", 99), ("v", "welder", -1), ("t", None, -1), ("t", "", -1)}
+    assert {tuple(r) for r in match_values(values, names).collect()} == want
+    got = [tuple(r) for r in match_values(values, names, broadcast_entries=3, shard_entries=shard_entries).collect()]
+    assert len(got) == len(want) and set(got) == want

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.edits import BKTree, swaps
-from weftline.plans.runtime import shuffle_partitions, ship
+from weftline.plans.runtime import settle, shuffle_partitions, ship
 
 #: Words that qualify a value without changing what it is, at its beginning and at its end.
 BEFORE = "greater metro metropolitan senior sr junior jr lead principal chief certified licensed chartered assistant associate deputy acting interim trainee head staff".split()
@@ -83,46 +83,45 @@ class Matcher:
         """entries: (canon_id, name or alias); of entries with the same letters the smallest id counts."""
         self.ids: dict[str, int] = {}
         self.words: set[str] = set()
+        texts: dict[str, int] = {}
         for ident, name in sorted(entries, key=lambda e: e[0]):
             text = plain(name)
             self.words.update(text.split())
+            texts.setdefault(text, ident)
             if squeezed(text):
                 self.ids.setdefault(squeezed(text), ident)
-        self.entries = [(text.split(), i) for text, i in {plain(n): i for i, n in entries}.items()]
+        self.entries = [(text.split(), i) for text, i in texts.items()]
         self.tree = BKTree(sorted(self.ids))
         self.longest = max(map(len, self.ids), default=0)
 
-    def fits(self, words: list[str], entry: list[str]) -> bool:
-        """Whether the words stand for the entry's words in order: the same, short for one, or initials of several."""
+    def fits(self, words: list[str], entry: list[str], known: Collection[str]) -> bool:
+        """Whether the words stand for the entry's words in order: the same, short for one, or initials of several.
+
+        known has those of the words that the whole list has; they are short for nothing.
+        """
         if not words or not entry:
             return not words and not entry
         w = words[0]
-        if w == entry[0] or (w not in self.words and is_short_for(w, entry[0])):
-            return self.fits(words[1:], entry[1:])
+        if w == entry[0] or (w not in known and is_short_for(w, entry[0])):
+            return self.fits(words[1:], entry[1:], known)
         initials = 1 < len(w) <= len(entry) and w == "".join(e[0] for e in entry[: len(w)])
-        return initials and self.fits(words[1:], entry[len(w) :])
+        return initials and self.fits(words[1:], entry[len(w) :], known)
 
-    def shortened(self, reading: str) -> int | None:
-        """The one entry whose words a reading has in short; None if there are none or several."""
+    def shortened(self, reading: str, known: Collection[str]) -> set[int]:
+        """The entries whose words a reading has in short."""
         words = reading.split()
         if len(words) < 2:
-            return None
-        hits = {i for entry, i in self.entries if len(entry) >= len(words) and self.fits(words, entry)}
-        return hits.pop() if len(hits) == 1 else None
+            return set()
+        return {i for entry, i in self.entries if len(entry) >= len(words) and self.fits(words, entry, known)}
 
-    def find(self, value: str) -> tuple[int, int]:
-        """(cost, canon_id) of the entry meant, -1 if there is none.
-
-        Readings with an entry's very letters come first. Then the tree gives every entry within the radius of a
-        reading; the fewest edits win, an exchange of neighbours counting as one, then the more literal reading, then
-        the smaller id. Readings that no entry is near may still have its words in short.
-        """
-        forms = [(r, squeezed(r)) for r in readings(value)]
-        for _, s in forms:
+    def near(self, forms: list[str]) -> tuple[int, int, int] | None:
+        """(cost, place of the reading, canon_id) of the best entry within the radius of one of the readings."""
+        forms = [squeezed(r) for r in forms]
+        for at, s in enumerate(forms):
             if s in self.ids:
-                return 0, self.ids[s]
+                return 0, at, self.ids[s]
         best = None
-        for at, (_, s) in enumerate(forms):
+        for at, s in enumerate(forms):
             most = radius(s)
             if not most or len(s) > self.longest + most:
                 continue  # no entry can be that near
@@ -130,12 +129,23 @@ class Matcher:
                 d = swaps(s, entry)
                 if d <= most and (best is None or (d, at, self.ids[entry]) < best):
                     best = d, at, self.ids[entry]
+        return best
+
+    def find(self, value: str) -> tuple[int, int]:
+        """(cost, canon_id) of the entry meant, -1 if there is none.
+
+        Readings with an entry's very letters come first. Then the tree gives every entry within the radius of a
+        reading; the fewest edits win, an exchange of neighbours counting as one, then the more literal reading, then
+        the smaller id. Readings that no entry is near may still have the words of one entry alone in short.
+        """
+        forms = readings(value)
+        best = self.near(forms)
         if best:
             return best[0], best[2]
-        for r, _ in forms:
-            ident = self.shortened(r)
-            if ident is not None:
-                return 3, ident
+        for r in forms:
+            hits = self.shortened(r, self.words)
+            if len(hits) == 1:
+                return 3, hits.pop()
         return 99, -1
 
 
@@ -145,17 +155,26 @@ def match_values(values: DataFrame, reference: DataFrame, *, broadcast_entries:
     values: (field_name, value), distinct; reference: (field_name, canon_id, name), names and aliases. The list is counted
     first. Up to broadcast_entries entries go to every task, which builds one tree a field. A longer list is cut into
     shards of about shard_entries; every value meets every shard of its field in blocks, and the shards' winners merge
-    by fewest edits, then smallest id. Null and empty values are not matched (canon_id -1).
+    by fewest edits, then the more literal reading, then smallest id. Values that no shard has anything near for meet the
+    shards again, with those of their words that the whole list has: a reading counts if all shards together have one
+    entry for it. Null and empty values are not matched (canon_id -1).
     """
     spark = values.sparkSession
     ship(spark)
     entries = reference.where("name is not null and canon_id is not null").select("field_name", F.col("canon_id").cast("long").alias("canon_id"), "name").distinct()
     held = entries.limit(broadcast_entries + 1).collect()  # bounded: only to tell whether the list is small
-    out_type = "field_name string, value string, cost int, canon_id long"
+    pair_type = "field_name string, value string, "
+    place_type = pair_type + "cost int, place int, canon_id long"
+
+    def batch_of(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in columns.values()], names=list(columns))
 
-    def answer(matchers, fields, texts) -> pa.RecordBatch:
-        found = [matchers[f].find(v) if f in matchers and v else (99, -1) for f, v in zip(fields, texts)]
-        return pa.RecordBatch.from_arrays([pa.array(fields, pa.string()), pa.array(texts, pa.string()), pa.array([c for c, _ in found], pa.int32()), pa.array([i for _, i in found], pa.int64())], names=["field_name", "value", "cost", "canon_id"])
+    def pairs(fields, texts) -> dict[str, tuple[list, pa.DataType]]:
+        return {"field_name": (fields, pa.string()), "value": (texts, pa.string())}
+
+    def places(fields, texts, found) -> pa.RecordBatch:
+        """found: (cost, place, canon_id) of each."""
+        return batch_of(pairs(fields, texts) | {"cost": ([x[0] for x in found], pa.int32()), "place": ([x[1] for x in found], pa.int32()), "canon_id": ([x[2] for x in found], pa.int64())})
 
     def matchers_of(rows) -> dict[str, Matcher]:
         by: dict[str, list] = {}
@@ -169,23 +188,57 @@ def match_values(values: DataFrame, reference: DataFrame, *, broadcast_entries:
         def find(batches):
             matchers = matchers_of(rows.value)
             for batch in batches:
-                yield answer(matchers, batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                fields, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                found = [matchers[f].find(v)[1] if f in matchers and v else -1 for f, v in zip(fields, texts)]
+                yield batch_of(pairs(fields, texts) | {"canon_id": (found, pa.int64())})
+
+        return values.select("field_name", "value").mapInArrow(find, pair_type + "canon_id long")
+
+    def with_text(batches):
+        for b in batches:
+            yield b.append_column("text", pa.array([plain(n) for n in b["name"].to_pylist()], pa.string()))
 
-        return values.select("field_name", "value").mapInArrow(find, out_type).select("field_name", "value", "canon_id")
+    def words_of(batches):
+        for b in batches:
+            rows = [(f, v, w) for f, v in zip(b["field_name"].to_pylist(), b["value"].to_pylist()) for w in sorted({w for r in readings(v) for w in r.split()})]
+            yield batch_of(pairs([r[0] for r in rows], [r[1] for r in rows]) | {"word": ([r[2] for r in rows], pa.string())})
+
+    def near(v: pa.Table, e: pa.Table) -> pa.Table:
+        matchers = matchers_of(zip(*(e[c].to_pylist() for c in ("field_name", "canon_id", "name"))))
+        fields, texts = v["field_name"].to_pylist(), v["value"].to_pylist()
+        found = [(matchers[f].near(readings(t)) if f in matchers and t else None) or (99, 0, -1) for f, t in zip(fields, texts)]
+        return pa.Table.from_batches([places(fields, texts, found)])
+
+    def shortened(v: pa.Table, e: pa.Table) -> pa.Table:
+        """At most two entries for a reading: that is enough to tell that it isn't one alone."""
+        matchers = matchers_of(zip(*(e[c].to_pylist() for c in ("field_name", "canon_id", "name"))))
+        rows = []
+        for f, t, known in zip(*(v[c].to_pylist() for c in ("field_name", "value", "known"))):
+            if f in matchers:
+                known = set(known)
+                rows += [(f, t, (3, at, i)) for at, r in enumerate(readings(t)) for i in sorted(matchers[f].shortened(r, known))[:2]]
+        return pa.Table.from_batches([places([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows])])
 
     shards = -(-entries.count() // shard_entries)
     blocks = max(1, values.count() // 20_000)
+    # names that read the same stand in the same shard: of those the smallest id counts
+    listed = entries.mapInArrow(with_text, "field_name string, canon_id long, name string, text string")
+    sharded = listed.select("field_name", "canon_id", "name", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     key = F.pmod(F.xxhash64("value"), F.lit(blocks)).cast("int").alias("block")
-    left = values.select("field_name", "value", key, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    right = entries.select("field_name", "canon_id", "name", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
-    def shard(v: pa.Table, e: pa.Table) -> pa.Table:
-        matchers = matchers_of(zip(*(e[c].to_pylist() for c in ("field_name", "canon_id", "name"))))
-        return pa.Table.from_batches([answer(matchers, v["field_name"].to_pylist(), v["value"].to_pylist())])
+    def meet(left: DataFrame, f) -> DataFrame:
+        left = left.select("*", key, F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+        return left.groupBy("shard", "block").cogroup(sharded.groupBy("shard", "block")).applyInArrow(f, place_type)
+
+    def first(found: DataFrame) -> DataFrame:
+        return found.groupBy("field_name", "value").agg(F.min(F.struct("cost", "place", "canon_id")).alias("b")).select("field_name", "value", "b.*")
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(shard, out_type)
-    best = found.groupBy("field_name", "value").agg(F.min(F.struct("cost", F.when(F.col("canon_id") >= 0, F.col("canon_id")).otherwise(F.lit(2**62)).alias("canon_id"))).alias("b"))
-    return best.select("field_name", "value", F.when(F.col("b.cost") < 99, F.col("b.canon_id")).otherwise(F.lit(-1)).cast("long").alias("canon_id"))
+    best = settle(first(meet(values.select("field_name", "value"), near)))
+    asked = best.where("cost = 99 and value <> ''").select("field_name", "value").mapInArrow(words_of, pair_type + "word string")
+    words = listed.select(F.col("field_name").alias("f"), F.explode(F.split("text", " ")).alias("w")).distinct()
+    known = asked.join(words, F.col("field_name").eqNullSafe(F.col("f")) & (F.col("word") == F.col("w")), "left").groupBy("field_name", "value").agg(F.collect_set("w").alias("known"))
+    hits = meet(known, shortened).groupBy("field_name", "value", "cost", "place").agg(F.min("canon_id").alias("canon_id"), F.max("canon_id").alias("other")).where("canon_id = other").drop("other")
+    return first(best.unionByName(hits)).select("field_name", "value", "canon_id")
 
 
 def assign(rows: DataFrame, reference: DataFrame, **options) -> DataFrame:
