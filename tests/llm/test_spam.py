@@ -79,3 +79,18 @@ def test_no_rows_or_one_label(spark):
     schema = "doc_id long, text string"
     assert spam_scores(spark.createDataFrame([], schema)).count() == 0
     assert [r.score for r in spam_scores(spark.createDataFrame([(1, mail(SENTENCES))], schema)).collect()] == [0.0]
+
+
+@pytest.mark.parametrize(
+    "text,host",
+    [
+        (mail("Hello"), "host.test"),
+        ("Received: by relay.test\r\n" * 400 + "From: Ann <ann@far.test>\r\n\r\nHello", "far.test"),
+        ("X: " + "y" * 3980 + "\nFrom: ann@cut.example.test\n\nHello", "cut.example.test"),
+        ("\n \nFROM: ann@Led.test\nSubject: x\n\nHello", "led.test"),
+        ("Subject: x\n\nfrom: bob@quoted.test", None), ("Subject: x\n \t\nFrom: bob@quoted.test", None), ("From: nobody\n", None), ("", None), (None, None),
+    ],
+)
+def test_sender_stands_anywhere_in_the_header_block(spark, text, host):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.host for r in page_features(df).collect()] == [host]

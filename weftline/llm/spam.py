@@ -150,6 +150,15 @@ def predict(model: list, x: np.ndarray) -> np.ndarray:
 
 
 SENDER = re.compile(r"^from:[^\n]*?@([A-Za-z0-9.-]+)", re.I | re.M)
+BLANK_LINE = re.compile(r"\n[^\S\n]*\n")
+
+
+def sender_host(text: str | None) -> str | None:
+    """The sender's domain, from the header block: all lines up to the first blank one."""
+    text = (text or "").lstrip()
+    end = BLANK_LINE.search(text)
+    m = SENDER.search(text, 0, end.start() if end else len(text))
+    return m[1].lower() if m else None
 
 
 def page_features(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,7 +169,7 @@ def page_features(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
         for batch in batches:
             texts = batch.column(1).to_pylist()
             rows = [features(own_content(t)) for t in texts]
-            hosts = [(m[1].lower() if t and (m := SENDER.search(t[:4000])) else None) for t in texts]
+            hosts = [sender_host(t) for t in texts]
             values = pa.array(np.asarray(rows, np.float64).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, len(FEATURES), dtype=np.int32)), values)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hosts, pa.string()), lists, pa.array([weak_label(r) for r in rows], pa.int32())], names=["id", "host", "f", "label"])
