@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from weftline.functions.edits import swaps
-from weftline.llm.variants import linked, one_edit, organization_form, person_form, word_blocks
+from weftline.llm.variants import edit_blocks, linked, one_edit, organization_form, person_form, word_blocks
 
 GENERIC = frozenset("foods media energy engineering consulting construction technologies services".split())
 NAMES = frozenset("zachary leonardo hana jana tariq emil".split())
@@ -80,3 +80,23 @@ def test_long_names_and_names_without_letters(spark):
     roles = spark.createDataFrame([(9, None, "-")], "id long, organization_id long, name string")
     people = spark.createDataFrame([(1, "Ann" * 5000, "Lee" * 9000, "Kenya"), (2, "-", "?", "Kenya")], "id long, first_name string, last_name string, country string")
     assert {tuple(r) for r in linked(orgs, roles, people).collect()} == {("organization", 1, 2), ("role_organization", 3, 9)}
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="abc", min_size=8, max_size=40), st.integers(0, 39), st.sampled_from("abc"))
+def test_edit_blocks_bring_one_edit_together(a, at, c):
+    at %= len(a)
+    edited = [a[:at] + c + a[at + 1 :], a[:at] + c + a[at:], a + c, a[:at] + a[at + 1 :], a[:at] + a[at : at + 2][::-1] + a[at + 2 :]]
+    for b in edited:
+        if len(b) >= 8:
+            assert set(edit_blocks(a)) & set(edit_blocks(b))
+    assert len(edit_blocks(a)) <= 21
+
+
+def test_typos_in_names_of_one_word_or_short_words(spark):
+    orgs = [(1, "Brightwater Inc"), (2, "Brigthwater Inc"), (3, "Brightwater Inc"), (4, "Nafastame Kix Ltd"), (5, "Nafastame Kax Ltd"), (6, "Verylongcompoundwordname Inc"), (7, "Verylongcompoundwrodname Inc"), (8, "Kimolu Inc"), (9, "Kimoru Inc")]
+    people = [(21, "Hana", "Kolbermoor", "DE"), (22, "Hana", "Kolbermor", "DE"), (23, "Hana", "Kolbermoor", "FR"), (24, "Hana", "Stali", "DE"), (25, "Hana", "Stalo", "DE")]
+    roles = spark.createDataFrame([], "id long, organization_id long, name string")
+    found = linked(spark.createDataFrame(orgs, "id long, name string"), roles, spark.createDataFrame(people, "id long, first_name string, last_name string, country string"))
+    pairs = {(r.id_a, r.id_b) for r in found.collect()}
+    assert pairs == {(1, 2), (1, 3), (2, 3), (4, 5), (6, 7), (21, 22)}

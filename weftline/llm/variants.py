@@ -109,11 +109,25 @@ def organization_form(name: str, generic: frozenset[str]) -> tuple[list[str], st
     return core, " ".join(line) if line else ("" if legal else None)
 
 
+def edit_blocks(letters: str) -> list[str]:
+    """Keys of which any two strings of 8 letters or more share one if they are one edit or exchange apart.
+
+    Up to 16 letters: the string, and it with each letter left out. From 16 on its first and last half, cut for its own
+    length and for one less: what is edited lies in one half, so the other one stays.
+    """
+    n, keys = len(letters), []
+    if 8 <= n <= 16:
+        keys = [letters, *(letters[:i] + letters[i + 1 :] for i in range(n))]
+    if n >= 16:
+        keys += [k for m in (n, n - 1) for k in (f"{letters[: m // 2]}.", f".{letters[n - (m // 2 - 1) :]}")]
+    return list(dict.fromkeys(keys))
+
+
 def word_blocks(words: list[str], letters: str) -> list[str]:
-    """The blocks of a form: all its letters, its words in any order, and each word with an end of the others.
+    """The blocks of a form: all its letters, its words in any order, each word with an end of the others, and edit_blocks.
 
-    One edit spoils one word, and there either the first two or the last two letters, so forms one edit apart share a
-    block; and a block of a word that many names have stays small.
+    Forms of 8 letters or more that are one edit apart share one of edit_blocks, whatever their words; and a block of a
+    word that many names have stays small.
     """
     blocks = [f"={letters}", f"~{''.join(sorted(words))}"]
     at = 0
@@ -122,7 +136,7 @@ def word_blocks(words: list[str], letters: str) -> list[str]:
         if len(w) >= 3:
             blocks += [f"{w}<{(letters[: min(2, at)] + letters[end : end + 2])[:2]}", f"{w}>{(letters[max(0, at - 2) : at] + letters[max(end, len(letters) - 2) :])[-2:]}"]
         at = end
-    return list(dict.fromkeys(blocks))
+    return list(dict.fromkeys(blocks + [f"-{k}" for k in edit_blocks(letters)]))
 
 
 def business_likelihood(variant: str | None, canonical: str | None) -> float | None:
@@ -310,7 +324,7 @@ def person_groups(people: DataFrame, *, name_share: float = 0.0005) -> DataFrame
                     first, words = form
                     letters = "".join(words)
                     possible = sorted({first, *FULL_NAMES.get(first, ())})
-                    blocks = [f"={country}|{letters}", *[f"w{country}|{w}|{p}" for w in words if len(w) >= 4 and len(words) > 1 for p in possible]]
+                    blocks = [f"={country}|{letters}", *[f"w{country}|{w}|{p}" for w in words if len(w) >= 4 and len(words) > 1 for p in possible], *[f"-{country}|{k}|{p}" for k in edit_blocks(letters) for p in possible]]
                     rows.append((f"{first}|{letters}|{country}", letters, words, first, 2 if first in shared.value else 1 if len(first) > 1 else 0, sorted(set(blocks))))
                     keep.append(i)
             if rows:
