@@ -73,3 +73,12 @@ def test_path_profile_of_the_whole_table(spark, small):
     assert got["skills[]", "string"][0] == sum(s is not None for r in rows for s in r.skills or [])
     assert any(p.startswith("serialized_data.patents[].linkedin_inventors[].") for p, _ in got)
     assert sum(n for (p, _), (n, _) in got.items() if p == "serialized_data") == len(rows)
+
+
+def test_every_date_shape(spark):
+    shapes = {
+        "2020-01-02 03:04:05.678 Z": "datetime Z", "2020-01-02 03:04:05.6 +0100": "datetime offset", "2020-01-02 03:04:05": "datetime without fraction", "2020-01-02T03:04:05Z": "iso datetime", "2020-01-02": "date",
+        "2020-01": "year and month", "2020": "year", "": "empty", None: "null", "2020-1": "other", "20201": "other", "2020-01-": "other", "in 2020": "other", "2020\n": "other",
+    }
+    df = spark.createDataFrame([(v,) for v in shapes], "v string")
+    assert {r.v: r.s for r in df.select("v", audit.date_shape(df.v).alias("s")).collect()} == shapes

@@ -20,12 +20,14 @@ DATE_SHAPES = {
     "iso datetime": r"^\d{4}-\d\d-\d\dT.*$",
     "date": r"^\d{4}-\d\d-\d\d$",
 }
+#: Dates with parts left out; apart from the others, of which the query's SQL is built.
+PARTIAL_DATES = {"year and month": r"^\d{4}-\d\d\z", "year": r"^\d{4}\z"}
 
 
 def date_shape(value: Column) -> Column:
     """The shape in which a date is written."""
     shape = F.when(value.isNull(), "null").when(value == "", "empty")
-    for name, pattern in DATE_SHAPES.items():
+    for name, pattern in (DATE_SHAPES | PARTIAL_DATES).items():
         shape = shape.when(value.rlike(pattern), name)
     return shape.otherwise("other")
 
