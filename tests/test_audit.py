@@ -82,3 +82,9 @@ def test_every_date_shape(spark):
     }
     df = spark.createDataFrame([(v,) for v in shapes], "v string")
     assert {r.v: r.s for r in df.select("v", audit.date_shape(df.v).alias("s")).collect()} == shapes
+
+
+def test_keyword_values_keeps_values_of_one_document(spark, small):
+    rows = lambda name: {(r.field, r.value, r.docs) for r in QUERIES[name](spark, small).collect()}
+    every = rows("keyword_values")
+    assert {r for r in every if r[2] > 1} == rows("keyword_agg") and any(r[2] == 1 for r in every)

@@ -231,6 +231,20 @@ select 'country' field, country value, count(distinct id) docs from c group by a
 union all select 'roles.role_title', title, count(distinct id) from r where title is not null group by all having count(distinct id) > 1"""
 
 
+@query
+def keyword_values(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of every keyword value, those of one document too, which keyword_agg leaves out."""
+    p = latest_persons(spark, d)
+    a = search.keyword_counts(p, "id", "country").withColumn("field", F.lit("country"))
+    b = search.keyword_counts(p, "id", "roles.role_title").withColumn("field", F.lit("roles.role_title"))
+    return a.unionByName(b)
+
+
+SQL["keyword_values"] = PERSONS + """, c as (select distinct id, country from persons where country is not null)
+select 'country' field, country value, count(distinct id) docs from c group by all
+union all select 'roles.role_title', title, count(distinct id) from r where title is not null group by all"""
+
+
 @query
 def dangling_ids(spark: SparkSession, d: str) -> DataFrame:
     return audit.dangling(table(spark, d, "roles"), "organization_id", table(spark, d, "organizations"), "forager_id")
