@@ -69,3 +69,14 @@ def test_settings(monkeypatch, tmp_path, spark):
     assert (c.persons, c.bulk_docs, c.reset) == ("p", 7, False)
     audit_report({"a": spark.range(2)}, str(tmp_path / "a.json"))
     assert json.loads((tmp_path / "a.json").read_text()) == {"a": [{"id": 0}, {"id": 1}]}
+
+
+def test_event_log(spark, tmp_path, capsys):
+    config = folders(tmp_path, [[envelope(i) for i in range(3)]], [[envelope(8, name="h")]])
+    done = ingest(spark, config)
+    events = [json.loads(line) for line in capsys.readouterr().err.splitlines() if line.startswith('{"event"')]
+    assert [e["event"] for e in events] == ["organization_stage_started", "organization_stage_complete", "person_stage_started", "persons_enriched", "documents_written", "pipeline_complete"]
+    assert events[1]["organizations"] == 1 and events[4]["indexed"] == 3 and events[-1] == {"event": "pipeline_complete"} | done
+    with pytest.raises(Exception):
+        ingest(spark, config)  # the documents are there already
+    assert json.loads(capsys.readouterr().err.splitlines()[-1])["event"] == "pipeline_failed"

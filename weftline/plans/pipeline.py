@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import os
+import sys
 import time
 from datetime import UTC, datetime
 
@@ -18,6 +19,11 @@ from weftline.sinks.documents import MAX_DOC_BYTES, BulkIndex, SinkError, write_
 from weftline.sources.feeds import FeedError, demand_unique, demand_valid, envelopes, feed_files, feed_lines
 
 
+def log(event: str, **values) -> None:
+    """A line of the run's event log, as JSON on standard error."""
+    print(json.dumps({"event": event, **values}, default=str), file=sys.stderr, flush=True)
+
+
 def load_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A feed's validated envelopes (file, line, bytes, id, body), settled, so that no file is read and parsed twice."""
     return demand_valid(settle(envelopes(feed_lines(spark, feed_files(spark, path)), kind)))
@@ -41,23 +47,29 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
 
     keep()
     try:
+        log("organization_stage_started")
         orgs = demand_unique(load_feed(spark, config.organizations, "organization"), "organization")
         size = orgs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"), F.coalesce(F.max("bytes"), F.lit(0)).alias("m")).head()
         metrics |= {"organizations": size.n, "organization_raw_bytes": size.b, "organization_max_raw_bytes": size.m, "stage_seconds": time.monotonic() - began}
         keep()
+        log("organization_stage_complete", **{k: v for k, v in metrics.items() if k.startswith(("organization", "stage"))})
         at = time.monotonic()
+        log("person_stage_started")
         persons = load_feed(spark, config.persons, "person")
         docs = settle(enrich_documents(persons, orgs).withColumn("doc", F.to_json("doc")))
         long = docs.where(F.octet_length("doc") + 96 > MAX_DOC_BYTES).select("id").head()
         if long:
             raise SinkError(f"document {long.id} is too long")
         metrics |= totals(docs).head().asDict()
+        log("persons_enriched", persons=metrics["persons"], seconds=time.monotonic() - at)
         out = docs.select("id", "doc")
         metrics |= write_table(out, f"{config.out}/documents", reset=config.reset)
+        log("documents_written", indexed=metrics["indexed"], seconds=time.monotonic() - at)
         if config.bulk_url:
             spark.dataSource.register(BulkIndex)
             sent = out.select(F.col("id").cast("string").alias("id"), "doc").write.format("bulk_index").mode("append")
             sent.option("url", config.bulk_url).option("index", config.bulk_index).option("mostbytes", config.bulk_bytes).option("mostdocs", config.bulk_docs).save()
+            log("bulk_sent", index=config.bulk_index, seconds=time.monotonic() - at)
         metrics |= {"person_seconds": time.monotonic() - at, "status": "completed"}
     except Exception as e:
         metrics |= {"status": "failed", "error": str(e) if isinstance(e, (FeedError, SinkError)) else type(e).__name__}
@@ -67,6 +79,7 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
         metrics["wall_seconds"] = wall
         metrics["persons_per_second"] = metrics.get("persons", 0) / wall if metrics["status"] == "completed" and wall > 0 else 0.0
         keep()
+        log("pipeline_complete" if metrics["status"] == "completed" else "pipeline_failed", **metrics)
     return metrics
 
 
