@@ -1,12 +1,13 @@
 """Own content of mails, features, trees, and scores."""
 
 import base64
+import random
 
 import numpy as np
 import pytest
 
-from weftline.llm.mail import own_content
-from weftline.llm.spam import bag, features, page_features, predict, spam_scores, weak_label
+from weftline.llm.mail import is_note, own_content
+from weftline.llm.spam import FIRST_SPAM, SIGNALS, bag, features, page_features, predict, spam_scores, weak_label
 from weftline.plans.runtime import table
 
 HEAD = "From: Ann <ann@host.test>\nSubject: x\n"
@@ -40,45 +41,85 @@ def test_own_content(text, own):
     assert own_content(text).split() == own.split()
 
 
+TABLE = "\n".join(";".join(str((i * j * 37) % 991) for j in range(1, 6)) for i in range(20))
+LOG = "\n".join(f"2024-01-0{i % 9 + 1} 10:00:0{i % 9} INFO [worker-1] batch {i} done in 7 ms" for i in range(20))
+TAGS = "#cheapsofa #bestwatches #dealloans " * 8
+
+
 def test_weak_labels():
-    label = lambda t: weak_label(features(t))
-    table_of_numbers = "\n".join(";".join(str((i * j * 37) % 991) for j in range(1, 6)) for i in range(20))
-    log = "\n".join(f"2024-01-0{i % 9 + 1} 10:00:0{i % 9} INFO [worker-1] batch {i} done in 7 ms" for i in range(20))
-    assert [label(t) for t in (LINKS, KEYWORDS, "#cheapsofa #bestwatches #dealloans " * 8)] == [1, 1, 1]
-    assert [label(t) for t in (SENTENCES, SENTENCES + "\n" + LINKS.splitlines()[0], table_of_numbers, log, "yes :)", "")] == [0] * 6
+    named = lambda t: (lambda k: SIGNALS[k] if k >= 0 else None)(weak_label(features(t)))
+    assert [named(t) for t in (LINKS, TAGS, "\n".join([KEYWORDS.replace(",", "")] * 3), "\n".join([KEYWORDS] * 2))] == ["links", "tags", "repeats", "items"]
+    assert [named(t) for t in (SENTENCES, LOG, TABLE, "yes :)", "", "see http://a.test/x", "can you ring me back after lunch about this")] == ["prose", "log", "numbers", "note", "note", "note", "talk"]
+    assert [named(t) for t in (KEYWORDS, SENTENCES * 3 + "\n" + LINKS, "ring Ben after lunch re lamp order and lists")] == [None] * 3  # the trees tell
+
+
+def test_deep_parts():
+    text = SENTENCES
+    for i in range(30):
+        text = f"Content-Type: multipart/mixed; boundary=B{i}\n\n--B{i}\n{text if i else 'Content-Type: text/plain' + chr(10) * 2 + text}\n--B{i}--"
+    assert own_content(text) == SENTENCES
+
+
+@pytest.mark.parametrize(
+    "line,note",
+    [
+        ("This e-mail is confidential and intended for the recipient.", True), ("The sender accepts no liability for the opinions of the author.", True),
+        ("Diese Nachricht ist vertraulich und nur für den Empfänger.", True), ("Please delete the old list.", False), ("The review is on Friday and we need the report.", False),
+    ],
+)
+def test_notes(line, note):
+    assert is_note(line) == note
 
 
 def test_trees_learn_and_repeat():
     rng = np.random.default_rng(0)
     x = rng.random((600, 4))
     y = ((x[:, 1] > 0.6) & (x[:, 3] < 0.7)).astype(int)
-    model = bag(x[:400], y[:400])
+    signal = np.where(y == 1, FIRST_SPAM, 0)
+    model = bag(x[:400], signal[:400])
     assert ((predict(model, x[400:]) > 0.5) == y[400:]).mean() > 0.95
-    assert model == bag(x[:400], y[:400])
+    assert model == bag(x[:400], signal[:400])
     assert predict([0.25], x).tolist() == [0.25] * 600
 
 
-def test_held_out_accuracy(spark, small):
-    """Trees trained on some mails agree with the weak labels of others."""
-    rows = page_features(table(spark, small, "documents")).where("label >= 0").orderBy("id").collect()
-    x, y = np.array([r.f for r in rows]), np.array([r.label for r in rows])
-    train = np.arange(len(y)) % 2 == 0
-    assert y.sum() >= 4
-    assert ((predict(bag(x[train], y[train]), x[~train]) > 0.5) == y[~train]).mean() > 0.95
+def test_open_mails_are_told_apart(spark):
+    """Accuracy on mails of a kind known beforehand, none of which has a weak label."""
+    rng = random.Random(5)
+    things, offers = "lamp kettle tyre carpet ladder mixer blender heater".split(), "cheap best sale now buy deal".split()
+    opening = "ring Ben after lunch re lamp order|page two of report missing again|van waits outside gate nine|budget meeting moved, room still open".split("|")
+    said = "We need the second list before the review starts on Monday.|Nobody told me about this, so I went home before four.|Can you ask them if they have the old report?".split("|")
+    spam_text = lambda: rng.choice(opening) + "\n" + " ".join(f"{rng.choice(offers)} {rng.choice(things)}{rng.choice([',', '', ' |'])}" for _ in range(rng.randint(9, 16)))
+    plain_text = lambda: "\n".join(rng.sample(opening, rng.randint(1, 2))) + "\n" + rng.choice(said) + rng.choice(["", "\nhttp://a.test/x"])
+    known = [(10**6 + i, mail(spam_text() if i % 2 else plain_text())) for i in range(200)]
+    known = [(i, t) for i, t in known if weak_label(features(own_content(t))) == -1]
+    assert len(known) >= 170
+    documents = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").unionByName(spark.createDataFrame(known, "doc_id long, text string"))
+    got = {r.doc_id: r.score > 0.5 for r in spam_scores(documents).where("doc_id >= 1000000").collect()}
+    assert sum(got[i] == bool(i % 2) for i, _ in known) >= 0.98 * len(known)
+
+
+def test_host_rates_move_scores(spark):
+    """Of two equal mails the one whose host sends spam besides has the higher score."""
+    spam_of = lambda host, text: (f"From: a@{host}\n\n{text}",)
+    rows = [spam_of("bad.test", LINKS)] * 30 + [spam_of("good.test", SENTENCES)] * 30 + [spam_of(h, KEYWORDS) for h in ("bad.test", "good.test")]
+    documents = spark.createDataFrame([(i, t) for i, (t,) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in spam_scores(documents).collect()}
+    assert got[60].page_score == got[61].page_score and got[60].score > got[60].page_score and got[61].score < got[61].page_score
 
 
 def test_scores(spark):
-    rows = [(i, mail(f"Dear Bob,\n\n{SENTENCES}" * (1 + i % 3))) for i in range(60)] + [(100 + i, mail(LINKS if i % 2 else KEYWORDS)) for i in range(20)] + [(100, mail(KEYWORDS)), (200, None), (201, ""), (202, "  "), (203, mail("see http://a.test/x")), (None, mail(KEYWORDS)), (204, "x" * 200_000)]
+    texts = [mail(f"Dear Bob,\n\n{SENTENCES}" * (1 + i % 3)) for i in range(60)] + [mail(LINKS if i % 2 else TAGS) for i in range(20)] + [mail(t) for t in (LOG, TABLE)] * 5
+    rows = list(enumerate(texts)) + [(60, mail(TAGS)), (200, None), (201, ""), (202, "  "), (203, mail("see http://a.test/x")), (None, mail(TAGS)), (204, "x" * 200_000)]
     got = spam_scores(spark.createDataFrame([(i, t, "h", 1.0) for i, t in rows], "doc_id long, text string, host string, score double")).collect()
     assert len(got) == len(rows)
-    spam = sorted((r.doc_id or -1) for r in got if r.score > 0.5)
-    assert spam == sorted([-1, 100, *range(100, 120)])
+    spam = sorted(-1 if r.doc_id is None else r.doc_id for r in got if r.score > 0.5)
+    assert spam == sorted([-1, 60, *range(60, 80)])
 
 
 def test_no_rows_or_one_label(spark):
     schema = "doc_id long, text string"
     assert spam_scores(spark.createDataFrame([], schema)).count() == 0
-    assert [r.score for r in spam_scores(spark.createDataFrame([(1, mail(SENTENCES))], schema)).collect()] == [0.0]
+    assert [r.score for r in spam_scores(spark.createDataFrame([(1, mail(SENTENCES))], schema)).collect()][0] < 0.1
 
 
 @pytest.mark.parametrize(

@@ -34,13 +34,19 @@ CLOSINGS = re.compile(
 )
 #: Words that open a mail.
 GREETING = re.compile(r"^(?:hi|hello|dear|morning|good (?:morning|afternoon|evening)|hey|hallo|guten (?:tag|morgen)|liebe[rs]?|sehr geehrte|moin|bonjour|bonsoir|salut|cher|chère|chers|hola|buenos días|buenas tardes|estimad[oa]s?|querid[oa]s?)\b.{0,60}[,:!.]?$", re.I)
-#: Phrases of confidentiality notes.
-DISCLAIMER = re.compile(
-    r"confidential|vertraulich|confidentiel|confidencial|only for the addressee|intended (?:solely|only)|received (?:it|this) (?:by mistake|in error)|opinions are those|before printing|think of the trees|nur für den (?:adressaten|empfänger)|dirigido solo|no asume|destiné (?:uniquement|au seul)|destinataire|übernimmt keine|haftung|responsab",
+#: Stems that confidentiality and liability notes are made of, in several languages; a note has several of them.
+NOTE_STEMS = re.compile(
+    r"\b(?:confiden|vertraulich|privileg|address(?:ee|ed)|adressat|recipient|destina|empfänger|intended|bestimmt|unauthori|liab|haft|responsab|übernimmt|disclos|delete|lösch|supprim|elimin|error\b|mistake|irrt|erreur|opinion|author\b|sender|absender|expéditeur|remitente|print(?:ing|ed)\b|ausdruck|imprim|registered|sitz\b|gesellschaft|meant only|dirigido)",
     re.I,
 )
 
 
+def is_note(line: str) -> bool:
+    """Whether a line is a confidentiality or liability note: three of their stems, or two in a short line."""
+    found = {m.lower() for m in NOTE_STEMS.findall(line)}
+    return len(found) >= (2 if len(line) < 120 else 3)
+
+
 def split_head(text: str) -> tuple[dict[str, str], str]:
     """A part's header fields (lower case) and its body."""
     lines = text.split("\n")
@@ -90,13 +96,19 @@ def from_html(text: str) -> str:
     return html.unescape(TAG.sub(" ", text))
 
 
+#: Parts within parts are looked into down to this depth; what lies deeper is left out, as no mail reader shows it.
+MOST_DEEP = 100
+
+
 def readable(text: str, depth: int = 0) -> str:
     """The text that a reader of the message sees: of alternatives the plain one, without attachments."""
+    if depth > MOST_DEEP:
+        return ""
     fields, body = split_head(text)
     kind = fields.get("content-type", "text/plain").lower()
     if fields.get("content-disposition", "").lower().startswith("attachment"):
         return ""
-    if kind.startswith("multipart/") and depth < 8:
+    if kind.startswith("multipart/"):
         m = BOUNDARY.search(fields["content-type"])
         mark = "--" + (m[1] or m[2]) if m else None
         if mark and mark in body:
@@ -151,7 +163,7 @@ def own_content(text: str | None) -> str:
         if CLOSINGS.search(bare.rstrip(",.! ")) and len(bare) < 40 and any(k.strip() for k in kept):
             break
         kept.append(bare)
-    out = [k for k in kept if not (DISCLAIMER.search(k) and not LINK.search(k))]
+    out = [k for k in kept if not (is_note(k) and not LINK.search(k))]
     for i, k in enumerate(out):
         if k:
             if GREETING.match(k):
