@@ -28,7 +28,7 @@ SPLIT_ASCII = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^{SPACE}A-Za-z0
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WORD_BITS = 8
 #: What is kept between batches: chunks and pieces up to so many characters, at most so many of each.
-KEEP_CHARS, KEEP = 32, 300_000
+KEEP_CHARS, KEEP = 32, 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -164,9 +164,11 @@ class Encoder:
         """Puts the ids of new chunks into self.chunks."""
         pieces, ranks = self.pieces, self.ranks
         parts = {c: self.split_ascii(c) if c.isascii() else self.split(c) for c in chunks}
-        names, todo = [], []
+        names, todo, long = [], [], []
         for piece in set(chain.from_iterable(parts.values())).difference(pieces):
             raw = piece.encode("utf-8", "replace")
+            if len(piece) > KEEP_CHARS:
+                long.append(piece)
             whole = ranks.get(raw)
             if whole is None:
                 names.append(piece)
@@ -177,6 +179,8 @@ class Encoder:
         get = pieces.__getitem__
         for c, p in parts.items():
             self.chunks[c] = get(p[0]) if len(p) == 1 else b"".join(map(get, p))
+        for piece in long:
+            del pieces[piece]
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as int32 in a row; a null and an empty text have none."""
