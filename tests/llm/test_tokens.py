@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from weftline.llm import packing
-from weftline.llm.bpe import Encoder, read_ranks
+from weftline.llm.bpe import KEEP_CHARS, Encoder, read_ranks
 from weftline.llm.tokens import BYTE_BPE_50K, TOKENIZERS, encode_texts
 from weftline.plans.runtime import table
 
@@ -68,6 +69,12 @@ def test_table_edges(spark):
     assert encode_texts(rows.limit(0)).count() == 0
 
 
+def test_long_pieces_are_not_kept():
+    enc = Encoder(read_ranks(BYTE_BPE_50K))
+    enc.encode_batch(["x" * 5000 + " short", "a" * 40 + "!" * 40])
+    assert max(map(len, [*enc.pieces, *enc.chunks])) <= KEEP_CHARS
+
+
 def test_hilbert_visits_neighbours():
     n = 3
     grid = np.stack(np.meshgrid(*[np.arange(1 << n)] * 3, indexing="ij"), -1).reshape(-1, 3)
@@ -102,8 +109,30 @@ def test_little_room_is_left(spark):
     assert used <= 1.02 * -(-sum(counts) // 2048)
 
 
+def spans(rows, order):
+    """Mean distance on the curve, in places, between the first and the last item of a container that holds several."""
+    at = {}
+    for place, ident in enumerate(order):
+        at.setdefault(ident, place)
+    held = {}
+    for r in rows:
+        held.setdefault(r.container, []).append(at[r.doc_id])
+    return np.mean([max(v) - min(v) for v in held.values() if len(v) > 1])
+
+
+def test_containers_hold_neighbours_on_the_curve(spark):
+    """At least 98 % full, and at most a tenth of the span that the same items have when they come in any order."""
+    measured = packing.curve_sizes(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).cache()
+    order = [r.id for r in measured.orderBy("curve", "id").collect()]
+    rows = packing.pack(measured).collect()
+    shuffled = packing.pack(measured.withColumn("curve", F.xxhash64("id"))).collect()
+    tokens = sum(r.n_tokens for r in rows)
+    assert tokens >= 0.98 * 2048 * len({r.container for r in rows})
+    assert spans(rows, order) <= 0.1 * spans(shuffled, order)
+
+
 def test_many_partitions_and_table_edges(spark):
-    got = packing.pack(sizes(spark, [10] * 500), 40, items_per_partition=50).collect()
+    got = packing.pack(sizes(spark, [10] * 500), 40, least_items=50).collect()
     assert len({(r.doc_id, r.piece) for r in got}) == 500 and len({r.container for r in got}) <= 135
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 5000), (4, "x")], "doc_id long, text string")
     out = packing.fill_containers(docs, 2048).collect()

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from weftline.llm.bpe import encoder
 from weftline.llm.tokens import BYTE_BPE_50K, text_slices
-from weftline.plans.runtime import settle, ship
+from weftline.plans.runtime import settle, ship, shuffle_partitions
 
 DIMS, BITS = 3, 10
 
@@ -86,60 +86,72 @@ def curve_sizes(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
 class Bins:
     """Open containers by the room they have left; an item goes where the least room remains."""
 
-    def __init__(self, capacity: int, keep: int):
-        self.capacity, self.keep = capacity, keep
-        self.open: list[tuple[int, str]] = []  # (room, container), ascending
+    def __init__(self, capacity: int, keep: int, stay: int):
+        self.capacity, self.keep, self.stay = capacity, keep, stay
+        self.open: list[tuple[int, str, int]] = []  # (room, container, window it was opened in), ascending
+        self.window = 0
 
     def put(self, size: int, name: str) -> tuple[str, int]:
         """The container of an item (a new one is named after the item) and the item's place in it."""
         at = bisect_left(self.open, (size, ""))
-        room, container = self.open.pop(at) if at < len(self.open) else (self.capacity, name)
+        room, container, since = self.open.pop(at) if at < len(self.open) else (self.capacity, name, self.window)
         if room > size:
-            insort(self.open, (room - size, container))
+            insort(self.open, (room - size, container, since))
         return container, self.capacity - room
 
-    def trim(self) -> None:
-        """Closes the fullest containers beyond the number to keep open."""
-        if len(self.open) > self.keep:
-            del self.open[: len(self.open) - self.keep]
+    def next_window(self) -> None:
+        """Closes containers opened too long ago, and the fullest ones beyond the number to keep open."""
+        self.window += 1
+        self.open = [x for x in self.open if self.window - x[2] <= self.stay]
+        del self.open[: max(0, len(self.open) - self.keep)]
 
 
-def pack(sizes: DataFrame, capacity: int = 2048, *, id_col: str = "doc_id", window: int = 50_000, keep: int = 10_000, items_per_partition: int = 500_000) -> DataFrame:
+def pack(sizes: DataFrame, capacity: int = 2048, *, id_col: str = "doc_id", window: int = 128, keep: int = 64, stay: int = 16, least_items: int = 8_192, most_items: int = 1_000_000) -> DataFrame:
     """(id, piece, container, place, n_tokens) from (id, n_tokens, curve).
 
     Items are range-sorted by their Hilbert key. Along the curve, a window of neighbouring items at a time is put into
-    containers, the longest first, each where the least room remains; containers with room stay open for the windows
-    that follow. An item longer than the capacity is cut into pieces of the capacity and a rest; no other is cut. A
-    container is named after its first item (id.piece), so names are unique and don't depend on partitions. An item
-    without tokens takes no room and gets a container all the same. Repeated ids give a row each.
+    containers, the longest first, each where the least room remains; up to keep containers with room stay open for the
+    next stay windows, so a container holds neighbours: its items lie within (stay + 1) windows on the curve. An item
+    longer than the capacity is cut into pieces of the capacity and a rest; no other is cut. A container is named after
+    its first item (id.piece), so names are unique and don't depend on partitions. An item without tokens takes no room
+    and gets a container all the same. Repeated ids give a row each.
+
+    Each range of the curve is packed by a task of its own: as many as the session's shuffle partitions, but of no fewer
+    than least_items items (at its end a range leaves some containers with room) and no more than about most_items.
     """
-    ship(sizes.sparkSession)
+    spark = sizes.sparkSession
+    ship(spark)
     items = sizes.select("id", "curve", F.col("n_tokens"), F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n_tokens") / capacity) - 1).cast("int"))).alias("piece"))
     items = items.withColumn("n_tokens", F.least(F.lit(capacity), F.col("n_tokens") - F.col("piece") * capacity).cast("int"))
     n = sizes.count()
-    parts = max(1, min(100_000, n // items_per_partition))
+    parts = max(1, min(n // least_items, max(shuffle_partitions(spark), n // most_items)))
     ordered = items.repartitionByRange(parts, "curve", "id", "piece").sortWithinPartitions("curve", "id", "piece")
 
     def place(batches):
-        bins = Bins(capacity, keep)
+        bins = Bins(capacity, keep, stay)
 
-        def flush(table: pa.Table) -> pa.RecordBatch:
-            ids, size, piece = (table.column(c).to_pylist() for c in ("id", "n_tokens", "piece"))
+        def columns(rows: pa.Table) -> list:
+            ids, size, piece = (rows.column(c).to_pylist() for c in ("id", "n_tokens", "piece"))
             container, at = [""] * len(ids), [0] * len(ids)
-            for i in sorted(range(len(ids)), key=lambda i: -size[i]):
-                container[i], at[i] = bins.put(size[i], f"{ids[i]}.{piece[i]}")
-            bins.trim()
-            return pa.RecordBatch.from_arrays([table.column("id").combine_chunks(), table.column("piece").combine_chunks(), pa.array(container), pa.array(at, pa.int32()), table.column("n_tokens").combine_chunks()], names=["id", "piece", "container", "place", "n_tokens"])
+            for a in range(0, len(ids), window):
+                for i in sorted(range(a, min(a + window, len(ids))), key=lambda i: -size[i]):
+                    container[i], at[i] = bins.put(size[i], f"{ids[i]}.{piece[i]}")
+                bins.next_window()
+            return [rows.column("id"), rows.column("piece"), pa.array(container, pa.string()), pa.array(at, pa.int32()), rows.column("n_tokens")]
 
-        held, rows = [], 0
+        def out(rows: pa.Table):
+            yield from pa.Table.from_arrays(columns(rows), names=["id", "piece", "container", "place", "n_tokens"]).combine_chunks().to_batches()
+
+        held = None
         for batch in batches:
-            held.append(batch)
-            rows += len(batch)
-            if rows >= window:
-                yield flush(pa.Table.from_batches(held))
-                held, rows = [], 0
-        if rows:
-            yield flush(pa.Table.from_batches(held))
+            part = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, part]) if held is not None else part
+            full = held.num_rows // window * window
+            if full:
+                yield from out(held.slice(0, full))
+                held = held.slice(full)
+        if held is not None and held.num_rows:
+            yield from out(held)
 
     schema = T.StructType([T.StructField("id", sizes.schema["id"].dataType), T.StructField("piece", T.IntegerType()), T.StructField("container", T.StringType()), T.StructField("place", T.IntegerType()), T.StructField("n_tokens", T.IntegerType())])
     return ordered.mapInArrow(place, schema).withColumnRenamed("id", id_col)
