@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from weftline.functions.edits import BKTree, levenshtein, swaps
+from weftline.llm.edits import BKTree, levenshtein, swaps
 from weftline.llm.canonical import Matcher, assign, match_values
 
 words = st.text(alphabet="abc", max_size=7)
@@ -48,6 +48,14 @@ def test_values(value, ident):
     assert Matcher(TITLES).find(value)[1] == ident
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet="ab", min_size=1, max_size=4), min_size=1, max_size=4), max_size=12), st.lists(st.text(alphabet="ab", min_size=1, max_size=3), min_size=2, max_size=4))
+def test_short_forms_are_found_by_first_letters(entries, reading):
+    m = Matcher([(i, " ".join(e)) for i, e in enumerate(entries)])
+    scan = {min(j for j, f in enumerate(entries) if f == e) for e in entries if m.fits(reading, e, ())}
+    assert m.shortened(" ".join(reading), ()) == scan
+
+
 def frames(spark):
     reference = spark.createDataFrame([("t", i, n, None) for i, n in TITLES] + [("u", 50, "Alone", ["Solo", None]), ("u", None, "Nobody", None)], "field_name string, canon_id long, canonical_name string, aliases array<string>")
     rows = [("t", 1, "Sr. Project Manager"), ("t", 1, "Sr. Project Manager"), ("t", 2, "Project Manager"), ("t", 3, None), ("t", 4, ""), ("t", 5, " "), ("u", 6, "solo"), ("u", 7, "Project Manager"), ("v", 8, "x"), ("t", None, "welder")] + [("t", 100 + i, "proect manager") for i in range(300)]

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from weftline.functions.edits import swaps
+from weftline.llm.edits import swaps
 from weftline.llm.variants import edit_blocks, linked, one_edit, organization_form, person_form, word_blocks
 
 GENERIC = frozenset("foods media energy engineering consulting construction technologies services".split())

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.edits import BKTree, swaps
+from weftline.llm.edits import BKTree, swaps
 from weftline.plans.runtime import settle, shuffle_partitions, ship
 
 #: Words that qualify a value without changing what it is, at its beginning and at its end.
@@ -71,9 +71,14 @@ def readings(value: str) -> list[str]:
     return out
 
 
+#: From these numbers of letters on a reading may lie one and two edits from an entry. A shorter one must have an
+#: entry's very letters: one edit makes many a short word into another one.
+ONE_EDIT, TWO_EDITS = 5, 12
+
+
 def radius(text: str) -> int:
     """Edits that a reading of this length may lie from an entry."""
-    return 0 if len(text) < 5 else 1 if len(text) < 12 else 2
+    return (len(text) >= ONE_EDIT) + (len(text) >= TWO_EDITS)
 
 
 class Matcher:
@@ -90,7 +95,13 @@ class Matcher:
             texts.setdefault(text, ident)
             if squeezed(text):
                 self.ids.setdefault(squeezed(text), ident)
-        self.entries = [(text.split(), i) for text, i in texts.items()]
+        #: Entries by the first letters of their words, and every beginning of those letters.
+        self.by_initials: dict[str, list[tuple[list[str], int]]] = {}
+        self.beginnings = {""}
+        for text, i in texts.items():
+            letters = "".join(w[0] for w in text.split())
+            self.by_initials.setdefault(letters, []).append((text.split(), i))
+            self.beginnings.update(letters[:k] for k in range(1, len(letters) + 1))
         self.tree = BKTree(sorted(self.ids))
         self.longest = max(map(len, self.ids), default=0)
 
@@ -107,12 +118,19 @@ class Matcher:
         initials = 1 < len(w) <= len(entry) and w == "".join(e[0] for e in entry[: len(w)])
         return initials and self.fits(words[1:], entry[len(w) :], known)
 
+    def initials(self, words: list[str]) -> set[str]:
+        """The first letters of entries that words may stand for: a word gives its first letter, or all its letters."""
+        found = {""}
+        for w in words:
+            found = {x for f in found for x in (f + w[0], f + w) if x in self.beginnings}
+        return found
+
     def shortened(self, reading: str, known: Collection[str]) -> set[int]:
-        """The entries whose words a reading has in short."""
+        """The entries whose words a reading has in short; looked up by first letters, so few entries are compared."""
         words = reading.split()
         if len(words) < 2:
             return set()
-        return {i for entry, i in self.entries if len(entry) >= len(words) and self.fits(words, entry, known)}
+        return {i for letters in self.initials(words) for entry, i in self.by_initials.get(letters, ()) if self.fits(words, entry, known)}
 
     def near(self, forms: list[str]) -> tuple[int, int, int] | None:
         """(cost, place of the reading, canon_id) of the best entry within the radius of one of the readings."""
