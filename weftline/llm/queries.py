@@ -52,11 +52,21 @@ SQL["p1_found"] = TERMS + "select field_name, term, mark from marked where mark
 SQL["p1_term_frequencies"] = TERMS + "select field_name, term, cast(occurrences as bigint) occurrences, records, mark from marked"
 
 
-@query
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
+def named_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     orgs = table(spark, d, "organizations").select(F.col("forager_id").alias("id"), "name")
     roles = table(spark, d, "roles").select("id", "organization_id", F.col("organization_name").alias("name"))
-    return variants.linked(orgs, roles, table(spark, d, "persons").select("id", "first_name", "last_name", "country"))
+    return orgs, roles, table(spark, d, "persons").select("id", "first_name", "last_name", "country")
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return variants.linked(*named_tables(spark, d))
+
+
+@query
+def p4_members(spark: SparkSession, d: str) -> DataFrame:
+    """The class of every organization, person, and role without an organization id."""
+    return variants.members(*named_tables(spark, d))
 
 
 def typed_values(spark: SparkSession, d: str) -> DataFrame:
