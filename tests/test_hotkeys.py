@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from weftline.operators.hotkeys import eager_join, roll_up, with_share
+from weftline.plans import corpus
 
 
 def test_eager_join_equals_the_joined_rows(spark):
@@ -13,10 +14,16 @@ def test_eager_join_equals_the_joined_rows(spark):
     assert got == {1: (500, 2, 1000, 10000, 2500), 2: (2, 2, 4, 24, 16), 3: (1, 0, 0, 0, 0), None: (2, 0, 0, 0, 0)}
     by = roll_up(eager_join(left, right, "k", "k", right_sums={"sw": F.col("w")}, right_also=("industry",)), "industry", ("sw",))
     assert {tuple(r) for r in by.collect()} == {("i", 504, 1016), ("j", 500, 1500)}
-    hot = with_share(e, left.count(), 0.02).where("dominates").collect()
+    hot = with_share(e, 0.02).where("dominates").collect()
     assert [r.key for r in hot] == [1]
 
 
 def test_empty(spark):
     t = spark.createDataFrame([], "k long, v long")
     assert eager_join(t, t, "k", "k", left_sums={"s": F.col("v")}).count() == 0
+    assert with_share(eager_join(t, t, "k", "k"), 0.02).count() == 0
+
+
+def test_dominating_keys_come_through_the_join(spark, small):
+    plan = corpus.p2_found(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "roles.parquet" in plan and "organizations.parquet" in plan

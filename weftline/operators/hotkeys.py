@@ -50,8 +50,14 @@ def roll_up(joined: DataFrame, by: str, sums: tuple[str, ...]) -> DataFrame:
     return joined.where("right_rows > 0").groupBy(by).agg(F.sum("joined_rows").alias("joined_rows"), *[F.sum(s).alias(s) for s in sums])
 
 
-def with_share(joined: DataFrame, total: int, hot_share: float) -> DataFrame:
-    """Adds each key's share of all rows and whether it dominates: not null, and over hot_share."""
-    share = F.col("left_rows") / F.lit(max(total, 1))
-    hot = F.col("left_rows") > F.lit(Decimal(str(hot_share)) * total)  # exact, as a key may hold just that share
-    return joined.withColumns({"share": share, "dominates": F.col("key").isNotNull() & hot})
+def with_share(joined: DataFrame, hot_share: float) -> DataFrame:
+    """Adds each key's share of all rows and whether it dominates: not null, and over hot_share.
+
+    All figures come from the joined states: the rows of a key are the joined rows over its parents (its own rows where it
+    has none), and the total is the sum of them, so no table is read again. The sum is a scalar subquery over the
+    same exchanges as the join.
+    """
+    rows = F.when(F.col("right_rows") > 0, F.expr("joined_rows div right_rows")).otherwise(F.col("left_rows"))
+    total = F.coalesce(joined.select(rows.alias("n")).agg(F.sum("n")).scalar(), F.lit(0))
+    hot = rows > F.lit(Decimal(str(hot_share))) * total  # exact, as a key may hold just that share
+    return joined.withColumns({"share": rows / F.greatest(total, F.lit(1)), "dominates": F.col("key").isNotNull() & hot})

@@ -16,7 +16,7 @@ HOT_SHARE = 0.02
 @query
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     roles, orgs = table(spark, d, "roles"), table(spark, d, "organizations")
-    joined = hotkeys.with_share(hotkeys.eager_join(roles, orgs, "organization_id", "forager_id"), roles.count(), HOT_SHARE)
+    joined = hotkeys.with_share(hotkeys.eager_join(roles, orgs, "organization_id", "forager_id"), HOT_SHARE)
     return joined.where("dominates").select(F.col("key").alias("organization_id"))
 
 
@@ -31,7 +31,7 @@ def p2_organizations(spark: SparkSession, d: str) -> DataFrame:
     joined = hotkeys.eager_join(
         roles, orgs, "organization_id", "forager_id", left_sums={"role_linkedin_sum": F.col("linkedin_id").cast("decimal(38,0)")}, right_sums={"employees_sum": F.col("employees_number").cast("decimal(38,0)")}, left_states={"first_start": F.min("start_date"), "last_start": F.max("start_date")}
     )
-    joined = hotkeys.with_share(joined, roles.count(), HOT_SHARE).withColumnRenamed("key", "organization_id")
+    joined = hotkeys.with_share(joined, HOT_SHARE).withColumnRenamed("key", "organization_id")
     joined = joined.join(people.withColumnRenamed("organization_id", "k"), F.col("organization_id").eqNullSafe(F.col("k"))).drop("k", "share")
     return joined.withColumns({c: F.col(c).cast("string") for c in ("role_linkedin_sum", "employees_sum")})
 
