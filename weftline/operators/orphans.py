@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.instants import utc_month
-from weftline.plans.runtime import settle, ship
+from weftline.plans.runtime import settle, ship, shuffle_partitions
 
 RANGE_BITS = 16
 
@@ -39,52 +39,71 @@ def decode(bits: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bits, bitorder="little"))
 
 
-def bitmaps(keys: DataFrame, key: str, *periods: str) -> DataFrame:
-    """(key_range, *periods, bits): a compressed bitmap of the keys of each key range and period.
+def dictionary(*keys: DataFrame) -> DataFrame:
+    """(key, code): a dense integer code for each distinct key of the given one-column tables, of any type that has an order.
 
-    An integer key is its own dictionary code: the high bits name the range, the low 16 bits the bit. Repeats fall away
-    in each task before anything moves, and a range has at most 65,536 keys, so a key with most rows weighs one bit.
+    Keys are range-partitioned and sorted; a code is the key's place in its range below the range's number. So however
+    sparse or long the keys are, 65,536 neighbours fill a bitmap range, and codes follow the order of the keys. Codes
+    must not change between reads, so they are settled.
     """
-    coded = keys.where(F.col(key).isNotNull()).select(F.shiftright(F.col(key).cast("long"), RANGE_BITS).alias("key_range"), F.col(key).cast("long").bitwiseAND((1 << RANGE_BITS) - 1).cast("int").alias("low"), *periods)
-    sets = coded.groupBy("key_range", *periods).agg(F.collect_set("low").alias("low"))
+    spark = keys[0].sparkSession
+    every = keys[0].select(F.col(keys[0].columns[0]).alias("key"))
+    for k in keys[1:]:
+        every = every.unionByName(k.select(F.col(k.columns[0]).alias("key")))
+    distinct = every.where("key is not null").distinct()
+    ordered = distinct.repartitionByRange(shuffle_partitions(spark), "key").sortWithinPartitions("key")
+    return settle(ordered.select("key", F.monotonically_increasing_id().alias("code")))
+
+
+def bitmaps(keys: DataFrame, *periods: str) -> DataFrame:
+    """(code_range, *periods, bits): a compressed bitmap of the codes of each code range and period, from (code, *periods).
+
+    The high bits of a code name the range, the low 16 bits the bit. Repeats fall away in each task before anything
+    moves, and a range has at most 65,536 codes, so a key with most rows weighs one bit.
+    """
+    coded = keys.select(F.shiftright("code", RANGE_BITS).alias("code_range"), F.col("code").bitwiseAND((1 << RANGE_BITS) - 1).cast("int").alias("low"), *periods)
+    sets = coded.groupBy("code_range", *periods).agg(F.collect_set("low").alias("low"))
 
     @F.pandas_udf("binary")
     def pack(low: pd.Series) -> pd.Series:
         return low.map(lambda x: compress(np.asarray(x)))
 
-    return sets.select("key_range", *periods, pack("low").alias("bits"))
+    return sets.select("code_range", *periods, pack("low").alias("bits"))
 
 
 def surviving(references: DataFrame, parents: DataFrame) -> DataFrame:
     """(source_table, period, key, certain): referenced keys that no parent of an earlier period covers.
 
-    references: (key, source_table, period); parents: (key, period), the period a parent is first there. Within a key
-    range, periods go by in order: each period's references AND NOT all parents of earlier periods leave the survivors.
-    A survivor is certain unless a parent turns up within the same period, which only instants can settle.
+    references: (key, source_table, period), distinct; parents: (key, period), the period a parent is first there. Keys of
+    both are dictionary-encoded. Within a code range, periods go by in order: each period's references AND NOT all
+    parents of earlier periods leave the survivors, which are decoded. A survivor is certain unless a parent turns up
+    within the same period, which only instants can settle.
     """
     ship(references.sparkSession)
+    codes = dictionary(references.select("key"), parents.select("key"))
 
     def and_not(refs: pa.Table, held: pa.Table) -> pa.Table:
         found = []  # source, period, keys, certain
         present = np.zeros(1 << (RANGE_BITS - 3), np.uint8)
         arrivals = sorted(zip(held["period"].to_pylist(), held["bits"].to_pylist()))
         at = 0
-        for period, source, key_range, bits in sorted(zip(*(refs[c].to_pylist() for c in ("period", "source_table", "key_range", "bits")))):
+        for period, source, code_range, bits in sorted(zip(*(refs[c].to_pylist() for c in ("period", "source_table", "code_range", "bits")))):
             while at < len(arrivals) and arrivals[at][0] < period:
                 present = present | expand(arrivals[at][1])
                 at += 1
             left = expand(bits) & ~present
             same = expand(arrivals[at][1]) if at < len(arrivals) and arrivals[at][0] == period else np.zeros_like(present)
             for group, certain in ((left & ~same, True), (left & same, False)):
-                found.append((source, period, (key_range << RANGE_BITS) + decode(group), certain))
+                found.append((source, period, (code_range << RANGE_BITS) + decode(group), certain))
         times = [len(k) for _, _, k, _ in found]
         repeat = lambda i, t: pa.array(np.repeat(np.array([f[i] for f in found], object), times), t)
         keys = np.concatenate([k for _, _, k, _ in found]) if found else np.zeros(0, np.int64)
-        return pa.table({"source_table": repeat(0, pa.string()), "period": repeat(1, pa.string()), "key": pa.array(keys.astype(np.int64)), "certain": repeat(3, pa.bool_())})
+        return pa.table({"source_table": repeat(0, pa.string()), "period": repeat(1, pa.string()), "code": pa.array(keys.astype(np.int64)), "certain": repeat(3, pa.bool_())})
 
-    r = bitmaps(references, "key", "source_table", "period").groupBy("key_range")
-    p = bitmaps(parents, "key", "period").groupBy("key_range")
-    return r.cogroup(p).applyInArrow(and_not, "source_table string, period string, key long, certain boolean")
+    r = bitmaps(references.join(codes, "key").select("code", "source_table", "period"), "source_table", "period").groupBy("code_range")
+    p = bitmaps(parents.join(codes, "key").select("code", "period"), "period").groupBy("code_range")
+    left = r.cogroup(p).applyInArrow(and_not, "source_table string, period string, code long, certain boolean")
+    return left.join(codes, "code").select("source_table", "period", "key", "certain")
 
 
 def first_instants(parents: DataFrame, removals: DataFrame | None = None) -> DataFrame:
@@ -120,7 +139,7 @@ def orphans(references: DataFrame, parents: DataFrame, removals: DataFrame | Non
     """
     refs = settle(latest_references(references))
     there = settle(first_instants(parents, removals))
-    left = surviving(refs.select("key", "source_table", "period"), there.select("key", utc_month(F.col("first_at")).alias("period")))
+    left = surviving(refs.select("key", "source_table", "period").distinct(), there.select("key", utc_month(F.col("first_at")).alias("period")))
     hit = refs.join(left, ["source_table", "period", "key"])
     late = hit.join(there, "key", "left").where("certain or at is null or first_at > at")
     return late.select("source_table", "row_id", "key", F.nullif("period", F.lit("")).alias("period"))
