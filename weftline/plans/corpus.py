@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.instants import feed_instant
 from weftline.operators import hotkeys, nested, orphans, rejects
-from weftline.plans.registry import SQL, query
+from weftline.plans.registry import QUERIES, SQL, Query, query
 from weftline.plans.runtime import table
 
 HOT_SHARE = 0.02
@@ -68,11 +68,48 @@ def p3_nodes(spark: SparkSession, d: str) -> DataFrame:
     return nested.node_table(table(spark, d, "persons"), "id", ("serialized_data",))
 
 
-@query
-def p3_inventors(spark: SparkSession, d: str) -> DataFrame:
-    """One flat child table: inventors, each leading to its patent and person."""
-    nodes = nested.node_table(table(spark, d, "persons"), "id", ("serialized_data",)).withColumnRenamed("id", "holder_id")
-    return nested.child_table(nodes, "patents.linkedin_inventors", "person_id long, name string").select("holder_id", "parent_pos", "pos", "person_id", "name").distinct()
+#: The flat child tables: path of the nodes, and their own fields.
+CHILD_TABLES = {
+    "p3_roles": ("roles", "id long, linkedin_id long, organization_id long, role_title string, organization_name string, employment_type string, start_date string, end_date string, date_updated string"),
+    "p3_organizations": ("organizations", "forager_id long, name string, domain string, industry string"),
+    "p3_addresses": ("organizations.addresses", "city string, country string, postcode string, state string, street_name string, is_headquarter boolean"),
+    "p3_funding_rounds": ("organizations.funding_rounds", "date_featured string, funding_type string, funding_total long"),
+    "p3_educations": ("educations", "school_name string, degree string, field_of_study string, start_date string"),
+    "p3_certifications": ("certifications", "name string, authority string"),
+    "p3_languages": ("languages", "name string, proficiency string"),
+    "p3_patents": ("patents", "title string, summary string, url string"),
+    "p3_inventors": ("patents.linkedin_inventors", "person_id long, name string"),
+    "p3_publications": ("publications", "title string, summary string, url string"),
+    "p3_authors": ("publications.linkedin_authors", "person_id long, name string"),
+    "p3_projects": ("projects", "title string, summary string, url string"),
+    "p3_contributors": ("projects.linkedin_contributors", "person_id long, name string"),
+}
+TYPED = {"roles": (), "organizations": ("addresses", "funding_rounds")}
+
+
+def child_query(path: str, fields: str) -> Query:
+    """One flat child table, each row leading to its person and its parent element; of a typed column only that is read."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        top = path.split(".")[0]
+        persons = table(spark, d, "persons").select("id", top if top in TYPED else "serialized_data")
+        nodes = nested.node_table(persons, "id", () if top in TYPED else ("serialized_data",)).withColumnRenamed("id", "holder_id")
+        return nested.child_table(nodes, path, fields).drop("delivery", "pre", "post", "level").distinct()
+
+    return run
+
+
+for _name, (_path, _fields) in CHILD_TABLES.items():
+    QUERIES[_name] = child_query(_path, _fields)
+for _top, _below in TYPED.items():
+    _names = ", ".join(f"e.{f.split()[0]}" for f in CHILD_TABLES[f"p3_{_top}"][1].split(", "))
+    SQL[f"p3_{_top}"] = f"select distinct holder_id, -1 parent_pos, cast(n - 1 as int) pos, {_names} from (select id holder_id, unnest({_top}) e, generate_subscripts({_top}, 1) n from persons) where e is not null"
+    for _b in _below:
+        _names = ", ".join(f"c.{f.split()[0]}" for f in CHILD_TABLES[f"p3_{_b}"][1].split(", "))
+        SQL[f"p3_{_b}"] = f"""
+select distinct holder_id, cast(n - 1 as int) parent_pos, cast(m - 1 as int) pos, {_names}
+from (select holder_id, n, unnest(e.{_b}) c, generate_subscripts(e.{_b}, 1) m
+  from (select id holder_id, unnest({_top}) e, generate_subscripts({_top}, 1) n from persons) where e is not null) where c is not null"""
 
 
 def references(spark: SparkSession, d: str) -> DataFrame:
