@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import json
 import re
 
 import pyarrow as pa
@@ -12,7 +11,7 @@ import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.strict_json import MAX_ID, is_id, strict_loads
+from weftline.functions.strict_json import MAX_ID, is_id, object_members, storable, strict_loads, texts_of
 from weftline.plans.runtime import ship
 
 COLUMNS = ("id", "date_updated", "serialized_data")
@@ -21,10 +20,6 @@ QUOTED_WELL = re.compile(rf"{FIELD}(?:,{FIELD})*+")
 SCHEMA = pa.schema([("at", pa.int32()), ("id", pa.int64()), ("date_updated", pa.string()), ("body", pa.string()), ("cell", pa.string()), ("reason", pa.string())])
 
 
-class Mark(str):
-    """Text that is already JSON."""
-
-
 def check_body(body, ident: int) -> tuple[str, str] | None:
     """What is wrong with an envelope's body: the failing cell and the reason."""
     if not isinstance(body, dict):
@@ -34,44 +29,23 @@ def check_body(body, ident: int) -> tuple[str, str] | None:
     return None
 
 
-def dump(value) -> str:
-    """Compact JSON, also of what is nested too deeply for the usual writer."""
-    try:
-        return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-    except RecursionError:
-        out: list[str] = []
-        todo: list = [value]
-        while todo:
-            x = todo.pop()
-            if isinstance(x, Mark):
-                out.append(x)
-            elif isinstance(x, dict):
-                parts = [y for i, (k, v) in enumerate(x.items()) for y in (Mark(("," if i else "") + json.dumps(k, ensure_ascii=False) + ":"), v)]
-                todo += [Mark("}"), *reversed(parts), Mark("{")]
-            elif isinstance(x, list):
-                parts = [y for i, v in enumerate(x) for y in (Mark("," if i else ""), v)]
-                todo += [Mark("]"), *reversed(parts), Mark("[")]
-            else:
-                out.append(json.dumps(x, ensure_ascii=False))
-        return "".join(out)
-
-
 def load_json_line(line: str) -> tuple:
-    """(id, date_updated, body, cell, reason) of one envelope line."""
+    """(id, date_updated, body, cell, reason) of one envelope line; the body as it was delivered."""
     try:
-        envelope = strict_loads(line)
+        envelope = object_members(line)
     except ValueError:
         return None, None, None, "line", "malformed JSON"
-    if not isinstance(envelope, dict):
+    if envelope is None:
         return None, None, None, "line", "not a JSON object"
-    ident, body = envelope.get("id"), envelope.get("serialized_data")
+    ident, _ = envelope.get("id", (None, ""))
     if not is_id(ident):
         return None, None, None, "id", "id is not an integer from 0 to 2^63-1"
+    body, text = envelope.get("serialized_data", (None, ""))
     wrong = check_body(body, ident)
     if wrong:
         return None, None, None, *wrong
-    date = envelope.get("date_updated")
-    return ident, date if isinstance(date, str) else None, dump(body), None, None
+    date, _ = envelope.get("date_updated", (None, ""))
+    return ident, storable(date) if isinstance(date, str) else None, text, None, None
 
 
 def load_csv_lines(lines: list[tuple[int, str]]) -> list[tuple]:
@@ -128,7 +102,7 @@ def load_lines(feed: DataFrame, *, file_col: str = "feed_file", line_col: str =
     """(file, line, id, date_updated, body, cell, reason): a row for each line; reason is null for those that load.
 
     `.csv` files have the columns id, date_updated, serialized_data; all others are read as one JSON envelope a line. A
-    null or blank line fails; a null file name counts as JSON. Repeated lines are loaded each. Other columns are not
+    null or blank line fails, as does one that isn't UTF-8; a null file name counts as JSON. Repeated lines are loaded each. Other columns are not
     read; an empty table gives no rows.
     """
     ship(feed.sparkSession)
@@ -137,8 +111,10 @@ def load_lines(feed: DataFrame, *, file_col: str = "feed_file", line_col: str =
     def load(batches):
         for batch in batches:
             out, csv_lines = [], []
-            for at, (file, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
-                if text is None or not text.strip(" \t\r\n"):
+            for at, (file, text) in enumerate(zip(batch.column(0).to_pylist(), texts_of(batch.column(2)))):
+                if isinstance(text, bytes):
+                    out.append((at, None, None, None, "line", "not UTF-8"))
+                elif text is None or not text.strip(" \t\r\n"):
                     out.append((at, None, None, None, "line", "empty line"))
                 elif file is not None and file.endswith(".csv"):
                     csv_lines.append((at, text))

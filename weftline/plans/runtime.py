@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -19,6 +21,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.io.compression.codec": "zstd",
+    "spark.checkpoint.compress": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.speculation": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -76,15 +80,19 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives this package's code to the executors of a cluster, once for each application."""
+    """Gives this package's code to the Python workers, once for each application.
+
+    Local ones need it too: they know the folder that the session was started from, which may be another.
+    """
     app = spark.sparkContext.applicationId
-    if is_local(spark) or app in _shipped:
+    if app in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
     path = os.path.join(tempfile.mkdtemp(prefix="weftline-code-"), "weftline.zip")
     with zipfile.ZipFile(path, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
+    atexit.register(shutil.rmtree, os.path.dirname(path), ignore_errors=True)
     spark.sparkContext.addPyFile(path)
     _shipped.add(app)
 

@@ -6,11 +6,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.strict_json import is_id, strict_loads
-from weftline.operators.rejects import check_body, dump
-from weftline.plans.runtime import ship
+from weftline.functions.strict_json import compact_json, is_id, strict_loads, texts_of
+from weftline.operators.rejects import check_body
+from weftline.plans.runtime import settle, ship
 
 MAX_LINE_BYTES = 16 * 1024 * 1024
+#: Of an organization's body as compact JSON, which is embedded as often as it is referred to.
+MAX_BODY_BYTES = 16 * 1024 * 1024
 
 
 class FeedError(ValueError):
@@ -28,17 +30,37 @@ def feed_files(spark: SparkSession, path: str, pattern: str = "*.json*") -> list
     return files
 
 
+#: Splits whose line counts are broadcast at most; of more, they are joined by a shuffle.
+MOST_BROADCAST_SPLITS = 100_000
+
+
 def feed_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, line, bytes, text): every line of the files, blank ones too, numbered from 1 within its file.
 
-    Only a line feed ends a line. A file may be read in several splits: a line's number is its place in its split plus
-    the lines of the file's splits before it. bytes counts the line feed.
+    Only a line feed ends a line. Lines are counted as they are read, so nothing is shuffled. Only of files that can be
+    read in several splits the lines of each split are counted first, and a line's number is its place in its split
+    plus the lines of the file's splits before it. bytes counts the line feed.
     """
-    raw = spark.read.option("lineSep", "\n").text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
-    splits = raw.groupBy("file", "split").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = splits.select("file", "split", (F.col("first") - before).alias("base"))
-    return raw.join(base, ["file", "split"]).select("file", (F.col("at") - F.col("base") + 1).alias("line"), (F.octet_length("value") + 1).alias("bytes"), F.col("value").alias("text"))
+    ship(spark)
+    raw = spark.read.option("lineSep", "\n").text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
+
+    def number(batches):
+        at, n = None, 0
+        for batch in batches:
+            place = []
+            for key in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                at, n = key, n + 1 if key == at else 1
+                place.append(n)
+            yield batch.append_column("place", pa.array(place, pa.int64()))
+
+    lines = raw.mapInArrow(number, "value string, file string, split long, place long")
+    line = F.col("place")
+    if not all(f.endswith(".gz") for f in raw.inputFiles()):
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        splits = settle(raw.groupBy("file", "split").agg(F.count(F.lit(1)).alias("n")).select("file", "split", before.alias("before")))
+        lines = lines.join(F.broadcast(splits) if splits.count() <= MOST_BROADCAST_SPLITS else splits, ["file", "split"])
+        line = line + F.col("before")
+    return lines.select("file", line.alias("line"), (F.octet_length("value") + 1).alias("bytes"), F.col("value").alias("text"))
 
 
 def check_person(body: dict) -> str | None:
@@ -59,14 +81,14 @@ def envelopes(lines: DataFrame, kind: str = "organization") -> DataFrame:
     """(file, line, bytes, id, body, reason) of lines (file, line, bytes, text): the body as compact JSON, or the reason.
 
     A line is one strict JSON object with an integer id, an object serialized_data whose forager_id, if it has one, equals
-    the id, and at most 16 MiB. Bodies of kind `person` must also have well-formed role references.
+    the id, and at most 16 MiB; an organization's body has at most 16 MiB as compact JSON. Bodies of kind `person` must also have well-formed role references.
     """
     ship(lines.sparkSession)
 
-    def read(text: str | None, size: int) -> tuple:
+    def read(text: str | bytes | None, size: int) -> tuple:
         if size > MAX_LINE_BYTES:
             return None, None, "record is too long"
-        if text is None or not text.strip(" \t\r\n"):
+        if isinstance(text, bytes) or text is None or not text.strip(" \t\r\n"):
             return None, None, "malformed JSON record"
         try:
             envelope = strict_loads(text)
@@ -79,11 +101,16 @@ def envelopes(lines: DataFrame, kind: str = "organization") -> DataFrame:
             return None, None, "id is not an integer from 0 to 2^63-1"
         wrong = check_body(body, ident)
         reason = wrong[1] if wrong else check_person(body) if kind == "person" else None
-        return (None, None, reason) if reason else (ident, dump(body), None)
+        if reason:
+            return None, None, reason
+        compact = compact_json(body)
+        if kind == "organization" and len(compact.encode()) > MAX_BODY_BYTES:
+            return None, None, "serialized_data is too long"
+        return ident, compact, None
 
     def load(batches):
         for batch in batches:
-            rows = [read(t, s) for t, s in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist())]
+            rows = [read(t, s) for t, s in zip(texts_of(batch.column(3)), batch.column(2).to_pylist())]
             out = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))] if rows else [pa.array([], t) for t in (pa.int64(), pa.string(), pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *out], names=["file", "line", "bytes", "id", "body", "reason"])
 
