@@ -16,7 +16,7 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="weftline")
     commands = parser.add_subparsers(dest="command", required=True)
     run = commands.add_parser("ingest")
-    for name in ("persons", "organizations", "out", "bulk-url", "bulk-index", "bulk-bytes", "bulk-docs"):
+    for name in ("persons", "organizations", "out", "bulk-url", "bulk-index", "bulk-bytes", "bulk-docs", "index-shards"):
         run.add_argument(f"--{name}")
     run.add_argument("--reset", action="store_const", const=True)
     commands.add_parser("report").add_argument("file")

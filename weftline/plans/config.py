@@ -36,6 +36,7 @@ class RunConfig:
     bulk_index: str = "persons"
     bulk_bytes: int = 8 * 1024 * 1024
     bulk_docs: int = 2000
+    index_shards: int = 4
 
     def __post_init__(self):
         for f in ("persons", "organizations", "out"):
@@ -43,6 +44,7 @@ class RunConfig:
                 raise ValueError(f"{f} is required")
         object.__setattr__(self, "reset", flag("reset", self.reset))
         object.__setattr__(self, "bulk_bytes", bounded_int("bulk_bytes", self.bulk_bytes, 1024, 64 * 1024 * 1024))
+        object.__setattr__(self, "index_shards", bounded_int("index_shards", self.index_shards, 1, 8))
         object.__setattr__(self, "bulk_docs", bounded_int("bulk_docs", self.bulk_docs, 1, 100_000))
 
     @classmethod

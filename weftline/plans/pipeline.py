@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from weftline.operators.enrich import enrich_documents, totals
 from weftline.plans.config import RunConfig
 from weftline.plans.runtime import settle
-from weftline.sinks.documents import MAX_DOC_BYTES, BulkIndex, SinkError, write_metrics, write_table
+from weftline.sinks.documents import MAX_DOC_BYTES, SinkError, write_metrics, write_table
+from weftline.sinks.index import SearchIndex, index_body, send_documents
 from weftline.sources.feeds import FeedError, demand_unique, demand_valid, envelopes, feed_files, feed_lines
 
 
@@ -29,10 +30,25 @@ def load_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return demand_valid(settle(envelopes(feed_lines(spark, feed_files(spark, path)), kind)))
 
 
+def task_usage(spark: SparkSession) -> dict[str, float]:
+    """What the tasks of this application have used so far, over all executors: seconds, and bytes read and shuffled."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    seen = store.executorList(False)
+    executors = [seen.apply(i) for i in range(seen.size())]
+    total = lambda f: sum(f(e) for e in executors)
+    return {
+        "task_seconds": total(lambda e: e.totalDuration()) / 1000,
+        "gc_seconds": total(lambda e: e.totalGCTime()) / 1000,
+        "input_bytes": total(lambda e: e.totalInputBytes()),
+        "shuffle_bytes": total(lambda e: e.totalShuffleWrite()),
+    }
+
+
 def ingest(spark: SparkSession, config: RunConfig) -> dict:
     """Runs an ingest and returns its metrics, which are also kept in out/metrics.json, running, failed or completed.
 
-    Everything is validated before anything is written. The first bad line, a repeated organization, a document over 32
+    With bulk_url the documents also go into a search index, which must not exist unless reset, is created with its mapping
+    first, and at the end must count what was acknowledged. Everything is validated before any document is written. The first bad line, a repeated organization, a document over 32
     MiB or a count that doesn't match ends the run; messages name files, lines and ids, never content.
     """
     metrics: dict = {"status": "running", "started": datetime.now(UTC).isoformat()}
@@ -46,7 +62,11 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
             write_metrics(f"{config.out}/metrics.json", metrics)
 
     keep()
+    usage = task_usage(spark)
+    index = SearchIndex(config.bulk_url, config.bulk_index)
     try:
+        if config.bulk_url:
+            index.create(index_body(shards=config.index_shards), reset=config.reset)
         log("organization_stage_started")
         orgs = demand_unique(load_feed(spark, config.organizations, "organization"), "organization")
         size = orgs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"), F.coalesce(F.max("bytes"), F.lit(0)).alias("m")).head()
@@ -66,10 +86,10 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
         metrics |= write_table(out, f"{config.out}/documents", reset=config.reset)
         log("documents_written", indexed=metrics["indexed"], seconds=time.monotonic() - at)
         if config.bulk_url:
-            spark.dataSource.register(BulkIndex)
-            sent = out.select(F.col("id").cast("string").alias("id"), "doc").write.format("bulk_index").mode("append")
-            sent.option("url", config.bulk_url).option("index", config.bulk_index).option("mostbytes", config.bulk_bytes).option("mostdocs", config.bulk_docs).save()
-            log("bulk_sent", index=config.bulk_index, seconds=time.monotonic() - at)
+            figures = send_documents(out, config.bulk_url, config.bulk_index, most_bytes=config.bulk_bytes, most_docs=config.bulk_docs)
+            metrics |= {f"bulk_{k}": v for k, v in figures.items()}
+            metrics["index_count"] = index.finish(figures["indexed"])
+            log("bulk_sent", index=config.bulk_index, seconds=time.monotonic() - at, **figures)
         metrics |= {"person_seconds": time.monotonic() - at, "status": "completed"}
     except Exception as e:
         metrics |= {"status": "failed", "error": str(e) if isinstance(e, (FeedError, SinkError)) else type(e).__name__}
@@ -77,13 +97,17 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
     finally:
         wall = time.monotonic() - began
         metrics["wall_seconds"] = wall
+        now = task_usage(spark)
+        metrics |= {k: now[k] - v for k, v in usage.items()}
         metrics["persons_per_second"] = metrics.get("persons", 0) / wall if metrics["status"] == "completed" and wall > 0 else 0.0
         keep()
         log("pipeline_complete" if metrics["status"] == "completed" else "pipeline_failed", **metrics)
     return metrics
 
 
+#: Figures of a completed run, and those that only some runs have.
 REPORTED = ("persons", "organizations", "roles", "resolved_org_refs", "unresolved_org_refs", "persons_with_unresolved_orgs", "unresolved_percent", "stage_seconds", "person_seconds", "wall_seconds", "persons_per_second")
+ALSO = ("task_seconds", "gc_seconds", "input_bytes", "shuffle_bytes", "bulk_indexed", "bulk_retried", "bulk_requests", "bulk_sent_bytes", "index_count")
 
 
 def report(path: str) -> str:
@@ -92,15 +116,20 @@ def report(path: str) -> str:
         metrics = json.load(f)
     if metrics.get("status") != "completed":
         raise ValueError(f"the run is {metrics.get('status', 'unknown')}")
-    lines = []
-    for name in REPORTED:
-        value = metrics.get(name)
-        if isinstance(value, bool) or not isinstance(value, (int, float)) or not math.isfinite(value) or value < 0:
-            raise ValueError(f"{name} is missing or no number")
-        lines.append(f"{name:30} {value:,.3f}" if isinstance(value, float) else f"{name:30} {value:,}")
-    return "\n".join(lines)
+    shown = {name: metrics.get(name) for name in REPORTED} | {name: metrics[name] for name in ALSO if name in metrics}
+    wrong = [name for name, x in shown.items() if type(x) not in (int, float) or not 0 <= x < math.inf]
+    if wrong:
+        raise ValueError(f"{wrong[0]} is missing or no number")
+    return "\n".join(f"{name:30} {x:,}" if type(x) is int else f"{name:30} {x:,.3f}" for name, x in shown.items())
+
+
+MOST_AUDIT_ROWS = 100_000
 
 
 def audit_report(tables: dict[str, DataFrame], path: str) -> None:
-    """Writes small audit tables to one JSON file by name."""
-    write_metrics(path, {name: [r.asDict(recursive=True) for r in t.collect()] for name, t in tables.items()})
+    """Writes audit tables to one JSON file by name; one of more than MOST_AUDIT_ROWS rows is refused."""
+    held = {name: t.limit(MOST_AUDIT_ROWS + 1).collect() for name, t in tables.items()}
+    long = [name for name, rows in held.items() if len(rows) > MOST_AUDIT_ROWS]
+    if long:
+        raise ValueError(f"{long[0]} has more than {MOST_AUDIT_ROWS} rows; write it as a table")
+    write_metrics(path, {name: [r.asDict(recursive=True) for r in rows] for name, rows in held.items()})

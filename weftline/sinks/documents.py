@@ -9,6 +9,7 @@ import time
 import urllib.error
 import urllib.request
 from dataclasses import dataclass
+from http.client import HTTPException
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -42,44 +43,65 @@ def _request(url: str, data: bytes, method: str = "POST") -> tuple[int, bytes]:
         return r.status, r.read()
 
 
+def pause_before(attempt: int, pause: float) -> float:
+    """Seconds to wait before a repeat: twofold each time up to 30 s, with jitter so that tasks don't come at once."""
+    return min(30.0, pause * 2 ** (attempt - 1)) * random.uniform(0.75, 1.25)
+
+
+def sort_reply(reply: bytes, ids: list[str]) -> tuple[list[int], tuple[str, str] | None]:
+    """(places of documents to send again, id and reason of the first one refused for good) from the reply to a bulk request.
+
+    An error if the reply doesn't answer the request item by item, or contradicts itself: success may not come with an
+    error, and the flag for errors must be a boolean that agrees with the items.
+    """
+    try:
+        body = json.loads(reply)
+    except ValueError:
+        raise SinkError("bulk reply can't be read") from None
+    items = body.get("items") if isinstance(body, dict) else None
+    results = [x["index"] for x in items if isinstance(x, dict) and list(x) == ["index"] and isinstance(x["index"], dict)] if isinstance(items, list) else []
+    if not isinstance(items, list) or not len(items) == len(results) == len(ids) or any(type(r.get("status")) is not int for r in results):
+        raise SinkError("bulk reply doesn't fit the request")
+    good = [r["status"] // 100 == 2 for r in results]
+    if any(ok and "error" in r for ok, r in zip(good, results)) or body.get("errors") is not (not all(good)):
+        raise SinkError("bulk reply contradicts itself about errors")
+    again = [i for i, r in enumerate(results) if r["status"] in RETRIED]
+    refused = next((i for i, ok in enumerate(good) if not ok and results[i]["status"] not in RETRIED), None)
+    if refused is None:
+        return again, None
+    error = results[refused].get("error")
+    return again, (ids[refused], str(error.get("type", "unknown")) if isinstance(error, dict) else "unknown")
+
+
 def send_bulk(url: str, index: str, docs: list[tuple[str, bytes]], *, retries: int = 6, pause: float = 0.5, request=_request, sleep=time.sleep) -> dict[str, int]:
-    """Upserts documents (id, JSON) by id. Only refused ones are sent again; a lost reply resends all of them.
+    """Upserts documents (id, JSON) by id. Only refused ones are sent again; a lost or cut reply resends all of them.
 
-    Waits grow twofold up to 30 s, with jitter. A permanent refusal or a reply that doesn't fit the request is an error.
+    A permanent refusal or a reply that doesn't fit the request is an error, which names the id and never the content.
     """
-    left, retried = docs, 0
+    left, figures = docs, {"indexed": len(docs), "retried": 0, "requests": 0, "sent_bytes": 0}
     for attempt in range(retries + 1):
         if attempt:
-            sleep(min(30.0, pause * 2 ** (attempt - 1)) * random.uniform(0.75, 1.25))
+            sleep(pause_before(attempt, pause))
+            figures["retried"] += len(left)
         payload = b"".join(json.dumps({"index": {"_index": index, "_id": i}}).encode() + b"\n" + d + b"\n" for i, d in left)
+        figures["requests"] += 1
+        figures["sent_bytes"] += len(payload)
         try:
             status, reply = request(f"{url}/_bulk", payload)
         except urllib.error.HTTPError as e:
-            if e.code not in RETRIED:
-                raise SinkError(f"bulk request refused with status {e.code}") from None
-            retried += len(left)
+            status, reply = e.code, b""
+        except (OSError, HTTPException):
             continue
-        except OSError:
-            retried += len(left)
+        if status in RETRIED:
             continue
-        try:
-            body = json.loads(reply)
-            results = [r["index"] for r in body["items"]]
-            statuses = [r["status"] for r in results]
-        except (ValueError, KeyError, TypeError):
-            raise SinkError("bulk reply can't be read") from None
-        if status >= 300 or len(results) != len(left) or any(type(s) is not int for s in statuses):
-            raise SinkError("bulk reply doesn't fit the request")
-        if bool(body.get("errors")) != any(s >= 300 for s in statuses):
-            raise SinkError("bulk reply contradicts itself about errors")
-        bad = [(i, s, r) for (i, _), s, r in zip(left, statuses, results) if s >= 300 and s not in RETRIED]
-        if bad:
-            kind = (bad[0][2].get("error") or {}).get("type", "unknown") if isinstance(bad[0][2].get("error"), dict) else "unknown"
-            raise SinkError(f"document {bad[0][0]} refused: {kind}")
-        left = [d for d, s in zip(left, statuses) if s in RETRIED]
+        if status != 200:
+            raise SinkError(f"bulk request refused with status {status}")
+        again, refused = sort_reply(reply, [i for i, _ in left])
+        if refused:
+            raise SinkError(f"document {refused[0]} refused: {refused[1]}")
+        left = [left[i] for i in again]
         if not left:
-            return {"indexed": len(docs), "retried": retried}
-        retried += len(left)
+            return figures
     raise SinkError(f"{len(left)} documents not accepted after {retries} retries")
 
 

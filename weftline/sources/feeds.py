@@ -84,6 +84,7 @@ def envelopes(lines: DataFrame, kind: str = "organization") -> DataFrame:
     the id, and at most 16 MiB; an organization's body has at most 16 MiB as compact JSON. Bodies of kind `person` must also have well-formed role references.
     """
     ship(lines.sparkSession)
+    longest = MAX_BODY_BYTES
 
     def read(text: str | bytes | None, size: int) -> tuple:
         if size > MAX_LINE_BYTES:
@@ -104,7 +105,7 @@ def envelopes(lines: DataFrame, kind: str = "organization") -> DataFrame:
         if reason:
             return None, None, reason
         compact = compact_json(body)
-        if kind == "organization" and len(compact.encode()) > MAX_BODY_BYTES:
+        if kind == "organization" and len(compact.encode()) > longest:
             return None, None, "serialized_data is too long"
         return ident, compact, None
 
