@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.strict_json import strict_loads
+from weftline.functions.strict_json import strict_loads, texts_of
 from weftline.operators.nested import JSON_START
 from weftline.plans.runtime import ship
 
@@ -19,22 +19,22 @@ DATE_SHAPES = {
     "datetime without fraction": r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d( .*)?$",
     "iso datetime": r"^\d{4}-\d\d-\d\dT.*$",
     "date": r"^\d{4}-\d\d-\d\d$",
+    "year and month": r"^\d{4}-\d\d\z",
+    "year": r"^\d{4}\z",
 }
-#: Dates with parts left out; apart from the others, of which the query's SQL is built.
-PARTIAL_DATES = {"year and month": r"^\d{4}-\d\d\z", "year": r"^\d{4}\z"}
 
 
 def date_shape(value: Column) -> Column:
     """The shape in which a date is written."""
     shape = F.when(value.isNull(), "null").when(value == "", "empty")
-    for name, pattern in (DATE_SHAPES | PARTIAL_DATES).items():
+    for name, pattern in DATE_SHAPES.items():
         shape = shape.when(value.rlike(pattern), name)
     return shape.otherwise("other")
 
 
 def canonical_id(value: Column) -> Column:
-    """A string of digits, with or without a minus, as an integer; null for anything else."""
-    return F.when(value.rlike("^-?[0-9]+$"), value.try_cast("bigint"))
+    """A string of digits alone as an integer; null for anything else, a sign too, and for what no bigint holds."""
+    return F.when(value.rlike(r"\A[0-9]+\z"), value.try_cast("bigint"))
 
 
 def presence(table: DataFrame) -> DataFrame:
@@ -103,14 +103,16 @@ class PathCounts:
             else:
                 self.add(path, JSON_KINDS.get(type(value), "string"))
 
-    def text(self, path: str, text: str | None) -> None:
+    def text(self, path: str, text: str | bytes | None) -> None:
         """A JSON text; of JSON written as a JSON string, what it holds."""
         if text is None:
             return self.add(path, "null")
         try:
-            value = strict_loads(text)
+            value = strict_loads(text) if isinstance(text, str) else None
         except ValueError:
             return self.add(path, "malformed")
+        if isinstance(text, bytes):
+            return self.add(path, "malformed")
         while isinstance(value, str) and value.lstrip(" \t\n\r").startswith(JSON_START):
             try:
                 value = strict_loads(value)
@@ -163,8 +165,8 @@ def path_profile(records: DataFrame, json_cols: tuple[str, ...] = ()) -> DataFra
                 if name not in json_cols:
                     seen.column(name, values)
                     continue
-                for text in values:
-                    seen.text(name, text.as_py())
+                for text in texts_of(values):
+                    seen.text(name, text)
                     if seen.size > PROFILE_CHARS:
                         yield seen.flush()
         yield seen.flush()

@@ -191,11 +191,12 @@ SQL["mget_orders"] = "select o_orderkey, o_orderstatus, o_orderpriority from ord
 
 @query
 def keyword_ignore_above(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that an exact search for their own whole text finds: not those beyond the field's length limit."""
     docs = table(spark, d, "documents")
-    return docs.select("doc_id", F.coalesce(F.length("text") <= search.IGNORE_ABOVE, F.lit(False)).alias("searchable"))
+    return docs.where(search.term(docs, "text", F.col("text"), {"text": search.text})).select("doc_id")
 
 
-SQL["keyword_ignore_above"] = "select doc_id, coalesce(length(text) <= 8191, false) searchable from documents"
+SQL["keyword_ignore_above"] = "select doc_id from documents where length(text) <= 8191"
 
 
 @query
@@ -220,27 +221,14 @@ SQL["term_array_contains"] = "select distinct id from persons where list_contain
 
 @query
 def keyword_agg(spark: SparkSession, d: str) -> DataFrame:
-    p = latest_persons(spark, d)
-    a = search.keyword_counts(p, "id", "country").withColumn("field", F.lit("country"))
-    b = search.keyword_counts(p, "id", "roles.role_title").withColumn("field", F.lit("roles.role_title"))
-    return a.unionByName(b).where("docs > 1")
-
-
-SQL["keyword_agg"] = PERSONS + """, c as (select distinct id, country from persons where country is not null)
-select 'country' field, country value, count(distinct id) docs from c group by all having count(distinct id) > 1
-union all select 'roles.role_title', title, count(distinct id) from r where title is not null group by all having count(distinct id) > 1"""
-
-
-@query
-def keyword_values(spark: SparkSession, d: str) -> DataFrame:
-    """Documents of every keyword value, those of one document too, which keyword_agg leaves out."""
+    """How many documents hold each keyword value."""
     p = latest_persons(spark, d)
     a = search.keyword_counts(p, "id", "country").withColumn("field", F.lit("country"))
     b = search.keyword_counts(p, "id", "roles.role_title").withColumn("field", F.lit("roles.role_title"))
     return a.unionByName(b)
 
 
-SQL["keyword_values"] = PERSONS + """, c as (select distinct id, country from persons where country is not null)
+SQL["keyword_agg"] = PERSONS + """, c as (select distinct id, country from persons where country is not null)
 select 'country' field, country value, count(distinct id) docs from c group by all
 union all select 'roles.role_title', title, count(distinct id) from r where title is not null group by all"""
 
@@ -297,12 +285,11 @@ SQL["upsert_last_wins"] = "select user_id, event_id, ts, event_type, value from
 
 @query
 def audit_presence(spark: SparkSession, d: str) -> DataFrame:
-    return audit.presence(table(spark, d, "roles").select("id", "organization_id", "role_title", "organization_name", "end_date", "location"))
+    return audit.presence(table(spark, d, "roles"))
 
 
-SQL["audit_presence"] = "".join(
-    ("" if not i else " union all ") + f"select '{c}' field, count({c}) filled, count(*) - count({c}) nulls from roles" for i, c in enumerate(("id", "organization_id", "role_title", "organization_name", "end_date", "location"))
-)
+ROLE_COLUMNS = "id person_id linkedin_id organization_id organization_linkedin_id role_title organization_name organization_domain organization_industry employment_type location start_date end_date date_updated fed_at".split()
+SQL["audit_presence"] = " union all ".join(f"select '{c}' field, count({c}) filled, count(*) - count({c}) nulls from roles" for c in ROLE_COLUMNS)
 
 
 @query
@@ -336,8 +323,12 @@ def date_shape_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shape_sql(t: str, c: str) -> str:
-    cases = " ".join(f"when regexp_matches({c}, '{p}') then '{n}'" for n, p in audit.DATE_SHAPES.items())
-    return f"select '{t}.{c}' field, case when {c} is null then 'null' when {c} = '' then 'empty' {cases} else 'other' end shape, count(*) n from {t} group by all"
+    return f"""select '{t}.{c}' field, case when {c} is null then 'null' when {c} = '' then 'empty'
+  when regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}[.][0-9]+ Z') then 'datetime Z'
+  when regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}[.][0-9]+ [+-][0-9]{{4}}') then 'datetime offset'
+  when regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}( .*)?') then 'datetime without fraction'
+  when regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T.*') then 'iso datetime' when regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then 'date'
+  when regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}') then 'year and month' when regexp_full_match({c}, '[0-9]{{4}}') then 'year' else 'other' end shape, count(*) n from {t} group by all"""
 
 
 SQL["date_shape_histogram"] = " union all ".join(shape_sql(*x) for x in (("roles", "date_updated"), ("roles", "start_date"), ("roles", "end_date"), ("organizations", "date_updated"), ("organizations", "founded_date")))
@@ -405,7 +396,7 @@ def canonical_id(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", audit.canonical_id(mixed).alias("canonical"))
 
 
-SQL["canonical_id"] = "select event_id, case event_id % 5 when 0 then null when 1 then -event_id when 2 then null else event_id end canonical from events"
+SQL["canonical_id"] = "select event_id, case when event_id % 5 > 2 then event_id end canonical from events"
 
 
 @query
@@ -530,17 +521,20 @@ union select source, doc_id from (select * from documents qualify row_number() o
 
 @query
 def full_doc_compare(spark: SparkSession, d: str) -> DataFrame:
-    """Two plans of the same enrichment, compared document by document; no row means no difference."""
-    a = enriched_orders(spark, d).select("o_orderkey", F.to_json(F.struct("unresolved_organization_ids", "n_resolved")).alias("doc"))
-    roles = order_roles(spark, d).select("o_orderkey", F.posexplode_outer("roles").alias("pos", "r"))
-    known = table(spark, d, "part").where("p_partkey % 50 <> 7").select(F.col("p_partkey").alias("ref"))
-    j = roles.select("o_orderkey", "pos", F.col("r.ref").alias("ref")).join(known.withColumn("hit", F.lit(1)), "ref", "left")
-    bad = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col("ref").isNotNull() & F.col("hit").isNull(), F.struct("pos", "ref")))), lambda x: x["ref"]))
-    b = j.groupBy("o_orderkey").agg(bad.alias("unresolved_organization_ids"), F.count("hit").cast("int").alias("n_resolved")).select("o_orderkey", F.to_json(F.struct("unresolved_organization_ids", "n_resolved")).alias("doc"))
+    """Whole enriched documents against a copy in which some lack, some are added, and some differ in one nested value."""
+    e = enriched_orders(spark, d)
+    doc = F.to_json(F.struct(*[c for c in e.columns if c != "o_orderkey"]))
+    key = F.col("o_orderkey")
+    a = e.select("o_orderkey", doc.alias("doc"))
+    changed = e.withColumn("roles", F.when(key % 97 == 5, F.transform("roles", lambda r, i: r.withField("supp", F.when(i == F.size("roles") - 1, r["supp"] + 1).otherwise(r["supp"])))).otherwise(F.col("roles")))
+    b = changed.where(key % 101 != 7).select(F.when(key % 103 == 9, -key).otherwise(key).alias("o_orderkey"), doc.alias("doc"))
     return checks.differing(a, b, "o_orderkey", "doc")
 
 
-SQL["full_doc_compare"] = "select o_orderkey, '' kind from orders where false"
+SQL["full_doc_compare"] = """
+with o as (select o_orderkey k, o_orderkey % 101 = 7 lacks, o_orderkey % 103 = 9 moved, o_orderkey % 97 = 5 and o_orderkey in (select l_orderkey from lineitem) changed from orders)
+select k o_orderkey, case when lacks or moved then 'only left' else 'differs' end kind from o where lacks or moved or changed
+union all select -k, 'only right' from o where moved and not lacks"""
 
 
 @query
@@ -582,7 +576,12 @@ SQL["byte_stats"] = "select count(serialized_data) n, cast(coalesce(sum(octet_le
 
 @query
 def content_digest(spark: SparkSession, d: str) -> DataFrame:
-    return checks.digest(table(spark, d, "orders"), "o_orderkey", "o_custkey", "o_orderstatus")
+    return checks.digest(table(spark, d, "orders"), "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+SQL["content_digest"] = """
+with t as (select md5(list_aggregate([coalesce(length(x) || ':' || x, '-') for x in [o_orderkey::varchar, o_custkey::varchar, o_orderstatus, o_orderpriority]], 'string_agg', '')) h from orders)
+select count(*) as "rows", cast(coalesce(sum(cast('0x' || left(h, 15) as hugeint)), 0) as varchar) digest from t"""
 
 
 @query
