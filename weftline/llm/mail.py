@@ -36,15 +36,13 @@ CLOSINGS = re.compile(
 GREETING = re.compile(r"^(?:hi|hello|dear|morning|good (?:morning|afternoon|evening)|hey|hallo|guten (?:tag|morgen)|liebe[rs]?|sehr geehrte|moin|bonjour|bonsoir|salut|cher|chère|chers|hola|buenos días|buenas tardes|estimad[oa]s?|querid[oa]s?)\b.{0,60}[,:!.]?$", re.I)
 #: Stems that confidentiality and liability notes are made of, in several languages; a note has several of them.
 NOTE_STEMS = re.compile(
-    r"\b(?:confiden|vertraulich|privileg|address(?:ee|ed)|adressat|recipient|destina|empfänger|intended|bestimmt|unauthori|liab|haft|responsab|übernimmt|disclos|delete|lösch|supprim|elimin|error\b|mistake|irrt|erreur|opinion|author\b|sender|absender|expéditeur|remitente|print(?:ing|ed)\b|ausdruck|imprim|registered|sitz\b|gesellschaft|meant only|dirigido)",
-    re.I,
+    r"\b(?:confiden|vertraulich|privileg|address(?:ee|ed)|adressat|recipient|destina|empfänger|intended|bestimmt|unauthori|liab|haft|responsab|übernimmt|disclos|delete|lösch|supprim|elimin|error\b|mistake|irrt|erreur|opinion|author\b|sender|absender|expéditeur|remitente|print(?:ing|ed)\b|ausdruck|imprim|registered|sitz\b|gesellschaft|meant only|dirigido)"
 )
 
 
 def is_note(line: str) -> bool:
     """Whether a line is a confidentiality or liability note: three of their stems, or two in a short line."""
-    found = {m.lower() for m in NOTE_STEMS.findall(line)}
-    return len(found) >= (2 if len(line) < 120 else 3)
+    return len(line) > 20 and len(set(NOTE_STEMS.findall(line.lower()))) >= (2 if len(line) < 120 else 3)
 
 
 def split_head(text: str) -> tuple[dict[str, str], str]:

@@ -90,7 +90,7 @@ def features(own: str) -> list[float]:
         separators / n,
         n / (separators + len(lines)),
         sum(bool(LOG_LINE.search(x)) for x in lines) / len(lines),
-        sum(c.isupper() for c in own) / chars,
+        sum(map(str.isupper, own)) / chars,
         float(len(lines)),
         float(len(links)),
         float(len(tags)),
