@@ -31,16 +31,19 @@ def load_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def task_usage(spark: SparkSession) -> dict[str, float]:
-    """What the tasks of this application have used so far, over all executors: seconds, and bytes read and shuffled."""
-    store = spark.sparkContext._jsc.sc().statusStore()
-    seen = store.executorList(False)
-    executors = [seen.apply(i) for i in range(seen.size())]
-    total = lambda f: sum(f(e) for e in executors)
+    """What the tasks of this application have used so far, over all executors: seconds, and bytes read and shuffled.
+
+    Summed over the stages that the session still knows (spark.ui.retainedStages, 1,000 unless set).
+    """
+    sc = spark.sparkContext
+    known = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    stages = [known.apply(i) for i in range(known.size())]
     return {
-        "task_seconds": total(lambda e: e.totalDuration()) / 1000,
-        "gc_seconds": total(lambda e: e.totalGCTime()) / 1000,
-        "input_bytes": total(lambda e: e.totalInputBytes()),
-        "shuffle_bytes": total(lambda e: e.totalShuffleWrite()),
+        "task_seconds": sum(x.executorRunTime() for x in stages) / 1000,
+        "cpu_seconds": sum(x.executorCpuTime() for x in stages) / 1e9,
+        "gc_seconds": sum(x.jvmGcTime() for x in stages) / 1000,
+        "input_bytes": sum(x.inputBytes() for x in stages),
+        "shuffle_bytes": sum(x.shuffleWriteBytes() for x in stages),
     }
 
 
@@ -107,7 +110,7 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
 
 #: Figures of a completed run, and those that only some runs have.
 REPORTED = ("persons", "organizations", "roles", "resolved_org_refs", "unresolved_org_refs", "persons_with_unresolved_orgs", "unresolved_percent", "stage_seconds", "person_seconds", "wall_seconds", "persons_per_second")
-ALSO = ("task_seconds", "gc_seconds", "input_bytes", "shuffle_bytes", "bulk_indexed", "bulk_retried", "bulk_requests", "bulk_sent_bytes", "index_count")
+ALSO = ("task_seconds", "cpu_seconds", "gc_seconds", "input_bytes", "shuffle_bytes", "bulk_indexed", "bulk_retried", "bulk_requests", "bulk_sent_bytes", "index_count")
 
 
 def report(path: str) -> str:
