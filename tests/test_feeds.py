@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from weftline.operators import checks
-from weftline.operators.enrich import enrich, enrich_documents, totals
+from weftline.operators.enrich import enrich, enrich_documents, enrich_parts, totals
 from weftline.sinks import documents as sink
 from weftline.sources import feeds
 from weftline.streaming.ingest import start_ingest
@@ -106,6 +106,20 @@ def test_documents_keep_everything_and_embed_once_in_order(spark):
     assert json.loads(out[3].doc)["roles"] == [] and json.loads(out[3].doc)["b"] == 1
 
 
+def test_documents_from_parts_equal_documents(spark):
+    people = [PERSON, {}, {"roles": []}, {"b": 1, "has_unresolved_organizations": "old", "roles": [{"organization_unresolved": 5}, {"organization_id": 3, "t": ["é", {}]}]}, {"big": 10**30, "s": "\\ \" x", "roles": [{"organization_id": 5}] * 4100}]
+    orgs = [(3, {"name": "c", "z": [1]}), (8, {"name": "h"}), (30, {})]
+    lines = spark.createDataFrame([("f", i, 9, json.dumps({"id": i, "serialized_data": b | {"forager_id": i}})) for i, b in enumerate(people, 1)], "file string, line long, bytes long, text string")
+    bodies = spark.createDataFrame([(i, json.dumps(b)) for i, b in orgs], "id long, body string")
+    whole = {r.id: r for r in enrich_documents(feeds.envelopes(lines, "person"), bodies).withColumn("doc", F.to_json("doc")).collect()}
+    for n in (1, 5):
+        got = {r.id: r for r in enrich_parts(feeds.envelopes(lines, "person", parts=True).repartition(n), bodies.repartition(n)).collect()}
+        assert {i: (json.loads(r.doc), r[2:]) for i, r in got.items()} == {i: (json.loads(r.doc), r[2:]) for i, r in whole.items()} and len(got) == 5
+    bad = spark.createDataFrame([("f", 1, 9, "{"), ("f", 2, 9, '{"id":2,"serialized_data":{"a":"\\ud800","n":1e999}}')], lines.schema)
+    rows = feeds.envelopes(bad, "person", parts=True).orderBy("line").collect()
+    assert [(r.id, r.rest, r.roles) for r in rows] == [(None, None, []), (2, '"a":"\\ud800","n":1e999', [])] and rows[0].reason
+
+
 def test_typed_enrichment_equals_documents(spark):
     people = [(1, [(8,), (3,), (8,), (999,), (999,), (None,)]), (2, []), (3, None), (4, [(5,)] * 4100)]
     p = spark.createDataFrame(people, "id long, roles array<struct<organization_id:long>>")

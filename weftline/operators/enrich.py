@@ -77,6 +77,27 @@ def enrich_documents(persons: DataFrame, organizations: DataFrame) -> DataFrame:
     return j.select("id", doc.alias("doc"), F.size("roles").alias("n_roles"), (F.size(F.filter("roles", lambda r: ref(r).isNotNull())) - n_bad).alias("n_resolved"), n_bad.alias("n_unresolved"))
 
 
+def enrich_parts(persons: DataFrame, organizations: DataFrame) -> DataFrame:
+    """(id, doc, n_roles, n_resolved, n_unresolved) from persons taken apart (id, rest, roles) and organizations (id, body).
+
+    The same documents as enrich_documents makes, as JSON text: it is put together from the pieces that validation left, so
+    no body is parsed again. Members keep their order, and those that enrichment writes stand last.
+    """
+    refs = persons.select(F.col("id").alias("entity"), F.posexplode(F.transform("roles", lambda r: r["ref"])).alias("pos", "ref"))
+    found = resolve(refs, organizations.select(F.col("id").alias("ref"), "body")).withColumnRenamed("entity", "id")
+    j = persons.select("id", "rest", "roles").join(found, "id", "left").withColumn("bad", F.coalesce("unresolved", F.array().cast("array<bigint>")))
+    is_bad = lambda r: r["ref"].isNotNull() & F.array_contains(F.col("bad"), r["ref"])
+    truth = lambda c: F.when(c, "true").otherwise("false")
+    listed = lambda texts: F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+    roles = F.transform("roles", lambda r: F.concat(r["head"], F.lit('"organization_unresolved":'), truth(is_bad(r)), F.lit("}")))
+    doc = F.concat(
+        F.lit("{"), "rest", F.when(F.col("rest") == "", "").otherwise(","), F.lit('"roles":'), listed(roles), F.lit(',"organizations":'), listed(F.coalesce("bodies", F.array().cast("array<string>"))),
+        F.lit(',"unresolved_organization_ids":'), listed(F.transform("bad", lambda x: x.cast("string"))), F.lit(',"has_unresolved_organizations":'), truth(F.size("bad") > 0), F.lit("}"),
+    )
+    n_bad = F.size(F.filter("roles", is_bad))
+    return j.select("id", doc.alias("doc"), F.size("roles").alias("n_roles"), (F.size(F.filter("roles", lambda r: r["ref"].isNotNull())) - n_bad).alias("n_resolved"), n_bad.alias("n_unresolved"))
+
+
 def totals(enriched: DataFrame) -> DataFrame:
     """One row: the run's counts and the share of unresolved references in percent."""
     t = enriched.agg(

@@ -12,7 +12,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators.enrich import enrich_documents, totals
+from weftline.operators.enrich import enrich_parts, totals
 from weftline.plans.config import RunConfig
 from weftline.plans.runtime import settle
 from weftline.sinks.documents import MAX_DOC_BYTES, SinkError, write_metrics, write_table
@@ -25,9 +25,9 @@ def log(event: str, **values) -> None:
     print(json.dumps({"event": event, **values}, default=str), file=sys.stderr, flush=True)
 
 
-def load_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """A feed's validated envelopes (file, line, bytes, id, body), settled, so that no file is read and parsed twice."""
-    return demand_valid(settle(envelopes(feed_lines(spark, feed_files(spark, path)), kind)))
+def load_feed(spark: SparkSession, path: str, kind: str, *, parts: bool = False) -> DataFrame:
+    """A feed's validated envelopes (file, line, bytes, id, body; see envelopes for parts), settled, so that no file is read and parsed twice."""
+    return demand_valid(settle(envelopes(feed_lines(spark, feed_files(spark, path)), kind, parts=parts)))
 
 
 def task_usage(spark: SparkSession) -> dict[str, float]:
@@ -78,8 +78,8 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
         log("organization_stage_complete", **{k: v for k, v in metrics.items() if k.startswith(("organization", "stage"))})
         at = time.monotonic()
         log("person_stage_started")
-        persons = load_feed(spark, config.persons, "person")
-        docs = settle(enrich_documents(persons, orgs).withColumn("doc", F.to_json("doc")))
+        persons = load_feed(spark, config.persons, "person", parts=True)
+        docs = settle(enrich_parts(persons, orgs))
         long = docs.where(F.octet_length("doc") + 96 > MAX_DOC_BYTES).select("id").head()
         if long:
             raise SinkError(f"document {long.id} is too long")

@@ -77,7 +77,31 @@ def check_person(body: dict) -> str | None:
     return None
 
 
-def envelopes(lines: DataFrame, kind: str = "organization") -> DataFrame:
+#: Members of a person's document that enrichment writes.
+OWN = ("roles", "organizations", "unresolved_organization_ids", "has_unresolved_organizations")
+FLAG = "organization_unresolved"
+
+
+def taken_apart(body: dict) -> tuple[str, list[tuple[int | None, str]]]:
+    """A person's members but OWN as JSON without braces, and of each role its reference and its JSON up to the flag."""
+    roles = []
+    for role in body.get("roles", ()):
+        inner = compact_json({k: v for k, v in role.items() if k != FLAG})[1:-1]
+        roles.append((role.get("organization_id"), f"{{{inner}," if inner else "{"))
+    return compact_json({k: v for k, v in body.items() if k not in OWN})[1:-1], roles
+
+
+def part_arrays(rows: list[tuple]) -> list[pa.Array]:
+    """id, rest, roles and reason of read lines (id, taken apart, reason)."""
+    roles = [body[1] if body else [] for _, body, _ in rows]
+    ends = [0]
+    for r in roles:
+        ends.append(ends[-1] + len(r))
+    flat = pa.StructArray.from_arrays([pa.array([ref for r in roles for ref, _ in r], pa.int64()), pa.array([head for r in roles for _, head in r], pa.string())], names=["ref", "head"])
+    return [pa.array([i for i, _, _ in rows], pa.int64()), pa.array([body and body[0] for _, body, _ in rows], pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array([r for _, _, r in rows], pa.string())]
+
+
+def envelopes(lines: DataFrame, kind: str = "organization", *, parts: bool = False) -> DataFrame:
     """(file, line, bytes, id, body, reason) of lines (file, line, bytes, text): the body as compact JSON, or the reason.
 
     A line is one strict JSON object with an integer id, an object serialized_data whose forager_id, if it has one, equals
@@ -104,6 +128,8 @@ def envelopes(lines: DataFrame, kind: str = "organization") -> DataFrame:
         reason = wrong[1] if wrong else check_person(body) if kind == "person" else None
         if reason:
             return None, None, reason
+        if parts:
+            return ident, taken_apart(body), None
         compact = compact_json(body)
         if kind == "organization" and len(compact.encode()) > longest:
             return None, None, "serialized_data is too long"
@@ -112,11 +138,15 @@ def envelopes(lines: DataFrame, kind: str = "organization") -> DataFrame:
     def load(batches):
         for batch in batches:
             rows = [read(t, s) for t, s in zip(texts_of(batch.column(3)), batch.column(2).to_pylist())]
+            if parts:
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *part_arrays(rows)], names=["file", "line", "bytes", "id", "rest", "roles", "reason"])
+                continue
             out = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))] if rows else [pa.array([], t) for t in (pa.int64(), pa.string(), pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *out], names=["file", "line", "bytes", "id", "body", "reason"])
 
     rows = lines.select(F.col("file").cast("string"), F.col("line").cast("long"), F.col("bytes").cast("long"), "text")
-    return rows.mapInArrow(load, "file string, line long, bytes long, id long, body string, reason string")
+    body = "rest string, roles array<struct<ref: bigint, head: string>>" if parts else "body string"
+    return rows.mapInArrow(load, f"file string, line long, bytes long, id long, {body}, reason string")
 
 
 def demand_valid(loaded: DataFrame) -> DataFrame:
