@@ -3,10 +3,11 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_feeds import envelope, write
 from weftline.plans.config import RunConfig, bounded_int, flag
-from weftline.plans.pipeline import audit_report, ingest, report
+from weftline.plans.pipeline import audit_report, ingest, last_stage, report, task_usage
 from weftline.sinks.documents import SinkError
 from weftline.sources.feeds import FeedError
 
@@ -71,6 +72,15 @@ def test_settings(monkeypatch, tmp_path, spark):
     assert json.loads((tmp_path / "a.json").read_text()) == {"a": [{"id": 0}, {"id": 1}]}
 
 
+def test_usage_counts_only_later_stages(spark):
+    spark.range(1000, numPartitions=2).selectExpr("sum(id)").collect()
+    at = last_stage(spark)
+    assert set(task_usage(spark, at).values()) == {0}
+    spark.range(1000, numPartitions=2).groupBy((F.col("id") % 7).alias("k")).count().collect()
+    used = task_usage(spark, at)
+    assert used["task_seconds"] > 0 and used["shuffle_bytes"] > 0 and last_stage(spark) > at
+
+
 def test_event_log(spark, tmp_path, capsys):
     config = folders(tmp_path, [[envelope(i) for i in range(3)]], [[envelope(8, name="h")]])
     done = ingest(spark, config)

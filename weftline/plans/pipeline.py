@@ -30,14 +30,20 @@ def load_feed(spark: SparkSession, path: str, kind: str, *, parts: bool = False)
     return demand_valid(settle(envelopes(feed_lines(spark, feed_files(spark, path)), kind, parts=parts)))
 
 
-def task_usage(spark: SparkSession) -> dict[str, float]:
-    """What the tasks of this application have used so far, over all executors: seconds, and bytes read and shuffled.
-
-    Summed over the stages that the session still knows (spark.ui.retainedStages, 1,000 unless set).
-    """
+def known_stages(spark: SparkSession) -> list:
+    """The stages that the session still knows: the last ones, spark.ui.retainedStages of them (1,000 unless set)."""
     sc = spark.sparkContext
     known = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
-    stages = [known.apply(i) for i in range(known.size())]
+    return [known.apply(i) for i in range(known.size())]
+
+
+def last_stage(spark: SparkSession) -> int:
+    return max((x.stageId() for x in known_stages(spark)), default=-1)
+
+
+def task_usage(spark: SparkSession, after: int = -1) -> dict[str, float]:
+    """What the tasks of stages after this one have used, over all executors: seconds, and bytes read and shuffled."""
+    stages = [x for x in known_stages(spark) if x.stageId() > after]
     return {
         "task_seconds": sum(x.executorRunTime() for x in stages) / 1000,
         "cpu_seconds": sum(x.executorCpuTime() for x in stages) / 1e9,
@@ -65,7 +71,7 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
             write_metrics(f"{config.out}/metrics.json", metrics)
 
     keep()
-    usage = task_usage(spark)
+    before = last_stage(spark)
     index = SearchIndex(config.bulk_url, config.bulk_index)
     try:
         if config.bulk_url:
@@ -100,8 +106,7 @@ def ingest(spark: SparkSession, config: RunConfig) -> dict:
     finally:
         wall = time.monotonic() - began
         metrics["wall_seconds"] = wall
-        now = task_usage(spark)
-        metrics |= {k: now[k] - v for k, v in usage.items()}
+        metrics |= task_usage(spark, before)
         metrics["persons_per_second"] = metrics.get("persons", 0) / wall if metrics["status"] == "completed" and wall > 0 else 0.0
         keep()
         log("pipeline_complete" if metrics["status"] == "completed" else "pipeline_failed", **metrics)
